@@ -162,9 +162,9 @@ def dirty_order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def copied_products(spark: SparkSession, sf_dir: str, same_key: bool = False) -> DataFrame:
     """Products and, of one brand, copies under ids above all others (or under the same id)."""
-    part = table(spark, sf_dir, "part")
+    part = table(spark, sf_dir, "part").withColumn("copy", F.lit(0))
     last = part.agg(F.max("p_partkey") + 1).scalar()
-    copies = part.filter(F.col("p_brand") == "Brand#2")
+    copies = part.filter(F.col("p_brand") == "Brand#2").withColumn("copy", F.lit(1))
     if not same_key:
         copies = copies.withColumn("p_partkey", F.col("p_partkey") + last)
     return part.unionByName(copies).select(
@@ -174,6 +174,7 @@ def copied_products(spark: SparkSession, sf_dir: str, same_key: bool = False) ->
         F.col("p_type").alias("category_name"),
         F.col("p_size").alias("size"),
         F.col("p_retailprice").cast(PRICE).alias("unit_price"),
+        "copy",
     )
 
 
@@ -290,7 +291,7 @@ def raw_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("Dr.").alias("TitleOfCourtesy"),
         day(birth).alias("BirthDate"),
         F.when(head, "NULL").otherwise(day(F.date_add(birth, 9000))).alias("HireDate"),
-        F.lit("Straße 5").alias("Address"),
+        F.lit("Gässli 5").alias("Address"),
         F.lit("Zürich").alias("City"),
         F.lit("NULL").alias("Region"),
         F.lit("8000").alias("PostalCode"),
