@@ -1,15 +1,15 @@
-"""Rows that are equal on a set of columns."""
+"""Rows that are equal on a set of columns; NULL equals NULL here."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.operators.joins import SLICE_ROWS, join_sliced
-
 
 def dedupe_first(df: DataFrame, compared: list[str], order: str) -> DataFrame:
-    """Of every group of rows equal on ``compared`` (NULL equals NULL) the first one by ``order``.
+    """Of every group of rows equal on ``compared`` the first one by ``order``.
 
     An aggregation and not a window: each task reduces its copies to one row per group before the
     shuffle, so a group of any size ends as one row per task.
@@ -30,27 +30,19 @@ def flag_duplicates(
     order: str,
     status: str = "duplicate_status",
     chosen: str | None = None,
-    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Every row, marked ``unique``, ``chosen`` (first of its group) or ``duplicate``.
 
     ``chosen`` names an optional column with the order value of the chosen row (NULL if unique).
-    Only groups of two and more rows go into the join back.
+    Groups are reduced to one row each before the shuffle and only those of two and more rows are
+    joined back. Both sides of that join are shuffled, so adaptive execution can split a large group.
     """
     groups = (
-        df.groupBy(*compared)
+        df.groupBy(*[F.col(c).alias(f"_{c}") for c in compared])
         .agg(F.count("*").alias("_rows"), F.min(order).alias("_first"))
         .filter("_rows > 1")
     )
-    flagged = join_sliced(
-        df,
-        groups.select(*compared, "_first"),
-        compared,
-        how="left",
-        counts=groups.select(*compared, "_rows"),
-        nulls_match=True,
-        slice_rows=slice_rows,
-    )
+    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(groups[f"_{c}"]) for c in compared])
     mark = (
         F.when(F.col("_first").isNull(), "unique")
         .when(F.col(order) == F.col("_first"), "chosen")
@@ -59,4 +51,4 @@ def flag_duplicates(
     extra = [mark.alias(status)]
     if chosen:
         extra.append(F.col("_first").alias(chosen))
-    return flagged.select(*df.columns, *extra)
+    return df.join(groups, same, "left").select(*df.columns, *extra)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A key is hot when it holds at least 1/HOT_PARTS of the counted rows, so there are never more than
@@ -15,8 +15,9 @@ SLICE_ROWS = 1_000_000
 
 
 def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows per key, pre-aggregated before the shuffle."""
-    return df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    """Rows per key, pre-aggregated before the shuffle; rows without a key are not counted."""
+    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return df.filter(has_key).groupBy(*keys).agg(F.count("*").alias("_rows"))
 
 
 def hot_keys(counts: DataFrame, keys: list[str], slice_rows: int = SLICE_ROWS) -> DataFrame:
@@ -28,45 +29,34 @@ def hot_keys(counts: DataFrame, keys: list[str], slice_rows: int = SLICE_ROWS) -
     )
 
 
-def _matches(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_r_{k}"]) for k in keys])
-
-
-def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str, nulls_match: bool) -> DataFrame:
-    if not nulls_match:
-        return left.join(right, keys, how)
-    right = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    return left.join(right, _matches(left, right, keys), how).drop(*[f"_r_{k}" for k in keys])
-
-
 def join_sliced(
     big: DataFrame,
     side: DataFrame,
     keys: list[str],
     how: str = "inner",
     counts: DataFrame | None = None,
-    nulls_match: bool = False,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Shuffle join in which the hot keys of ``big`` are spread over many tasks.
 
     Rows of a hot key get a slice number and the matching rows of ``side`` are repeated once per
-    slice, so the result is that of the plain join. The slice depends on the row and its input
-    partition only, so a repeated task cuts the same way. ``how`` may be inner, left, left_semi or
-    left_anti; ``counts`` takes a ``key_counts`` frame that is at hand already.
+    slice, so the result is that of the plain join. Rows without a key match nothing and are spread
+    too. The slice depends on the row and its input partition only, so a repeated task cuts the same
+    way. ``how`` may be inner, left, left_semi or left_anti; ``counts`` takes a ``key_counts`` frame
+    that is at hand already.
     """
-    columns = big.columns
-    hot = hot_keys(counts if counts is not None else key_counts(big, keys), keys, slice_rows)
-    spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in columns])
-    big = _join(big, F.broadcast(hot), keys, "left", nulls_match).select(
-        *columns,
-        F.coalesce(F.pmod(spread, F.col("_slices")), F.lit(0)).cast("int").alias("_slice"),
+    hot = F.broadcast(hot_keys(key_counts(big, keys) if counts is None else counts, keys, slice_rows))
+    spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in big.columns])
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    number = F.when(no_key, F.pmod(spread, F.lit(HOT_PARTS))).otherwise(
+        F.coalesce(F.pmod(spread, F.col("_slices")), F.lit(0))
     )
-    side = _join(side, F.broadcast(hot), keys, "left", nulls_match).select(
-        *side.columns,
-        F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1)).alias("_slice"),
+    cut = big.join(hot, keys, "left").select(*big.columns, number.cast("int").alias("_slice"))
+    last = F.coalesce(F.col("_slices"), F.lit(1)) - 1
+    repeated = side.join(hot, keys, "left").select(
+        *side.columns, F.explode(F.sequence(F.lit(0), last)).alias("_slice")
     )
-    return _join(big, side, [*keys, "_slice"], how, nulls_match).drop("_slice")
+    return cut.join(repeated, [*keys, "_slice"], how).drop("_slice")
 
 
 def lookup(df: DataFrame, dimension: DataFrame, key: str, how: str = "inner") -> DataFrame:
