@@ -12,7 +12,7 @@ import time
 
 from starmart.driver.marts import new_namespace, source_file, stand_ins
 from starmart.mapping import RAW
-from starmart.plans.warehouse import load_dimensions, load_fact, load_staging, report_frames
+from starmart.plans.warehouse import REPORTS, load_dimensions, load_fact, load_staging
 from starmart.session import build_session
 
 RUNS = 3
@@ -46,8 +46,8 @@ def main() -> None:
         timed("load_staging", lambda: load_staging(spark, folder, staging))
         dims = timed("load_dimensions", lambda: load_dimensions(spark, tables, datamart))
         fact = timed("load_fact", lambda: load_fact(tables, dims, datamart))
-        for name in report_frames(fact, dims):
-            timed(name, lambda: report_frames(fact, dims)[name].toPandas())
+        for name, report in REPORTS.items():
+            timed(name, lambda: report(fact, dims).collect())
     medians = {name: round(statistics.median(runs[1:]), 3) for name, runs in seconds.items()}
     print(
         json.dumps(

@@ -43,7 +43,8 @@ def join_sliced(
     slice, so the result is that of the plain join. Rows without a key match nothing and are spread
     too. The slice depends on the row and its input partition only, so a repeated task cuts the same
     way. ``how`` may be inner, left, left_semi or left_anti; ``counts`` takes a ``key_counts`` frame
-    that is at hand already.
+    that is at hand already. Both sides are taken to be large: the join sorts and merges, which spills
+    where a hash table would not fit, and broadcasts neither.
     """
     hot = F.broadcast(hot_keys(key_counts(big, keys) if counts is None else counts, keys, slice_rows))
     spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in big.columns])
@@ -56,7 +57,7 @@ def join_sliced(
     repeated = side.join(hot, keys, "left").select(
         *side.columns, F.explode(F.sequence(F.lit(0), last)).alias("_slice")
     )
-    return cut.join(repeated, [*keys, "_slice"], how).drop("_slice")
+    return cut.hint("merge").join(repeated, [*keys, "_slice"], how).drop("_slice")
 
 
 def lookup(df: DataFrame, dimension: DataFrame, key: str, how: str = "inner") -> DataFrame:

@@ -25,6 +25,7 @@ FACT_COLUMNS = [
     "total_amount",
     "freight_allocation",
 ]
+HEADER_COLUMNS = ["order_id", "customer_id", "order_date", "ship_via", "freight"]
 
 
 @dataclass(frozen=True)
@@ -60,16 +61,19 @@ def _with_keys(
 ) -> DataFrame:
     """Lines with their order's columns and the surrogate keys of the five dimensions.
 
-    What hangs on the order is looked up once per order, before the join with the lines. The sales
-    employee is looked up on whichever of the two inputs names one. An order may hold any number of
-    lines, so that join is sliced; the line counts it needs are the ones the freight split needs.
+    What hangs on the order is worked out once per order, before the join with the lines: the lookups
+    and its lines' share of the freight. The sales employee is looked up on whichever of the two
+    inputs names one. An order may hold any number of lines, so that join is sliced; the line counts
+    it needs are the ones the freight split needs.
     """
     counts = key_counts(order_details, ["order_id"])
     headers = _with_date_and_shipper(orders, dims, how)
     customers = dims.customer.select("customer_id", "customer_key")
     headers = _with_employee(lookup(headers, customers, "customer_id", how), dims, how)
     headers = headers.drop("order_date", "ship_via", "customer_id", "employee_id")
-    headers = headers.join(counts.withColumnRenamed("_rows", "line_count"), "order_id")
+    share = freight_share(F.col("freight"), F.col("_rows"))
+    headers = headers.join(counts, "order_id").withColumn("freight_allocation", share)
+    headers = headers.drop("freight", "_rows")
     lines = join_sliced(
         order_details, headers, ["order_id"], how, counts=counts, slice_rows=slice_rows
     )
@@ -87,18 +91,12 @@ def fact_lines(
     """The fact without its key: one row per order line whose order, product, customer, employee,
     date and shipper are all known. The dimension lookups prove that the parents exist.
     """
-    header_columns = ["order_id", "customer_id", "order_date", "ship_via", "freight"]
     line_columns = ["order_id", "product_id", "unit_price", "quantity", "discount", *extra]
-    headers = orders.select(*header_columns, *_employee_column(orders))
+    headers = orders.select(*HEADER_COLUMNS, *_employee_column(orders))
     lines = order_details.select(*line_columns, *_employee_column(order_details))
     keyed = _with_keys(lines, headers, dims, "inner", slice_rows)
-    measures = keyed.withColumns(
-        {
-            "total_amount": line_amount(F.col("unit_price"), F.col("quantity"), F.col("discount")),
-            "freight_allocation": freight_share(F.col("freight"), F.col("line_count")),
-        }
-    )
-    return measures.select(*FACT_COLUMNS, *extra)
+    amount = line_amount(F.col("unit_price"), F.col("quantity"), F.col("discount"))
+    return keyed.withColumn("total_amount", amount).select(*FACT_COLUMNS, *extra)
 
 
 def _employee_column(df: DataFrame) -> list[str]:
@@ -117,9 +115,7 @@ def line_fates(
     order_details: DataFrame, orders: DataFrame, dims: Dimensions, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """Every order line with the first reason why the fact would not hold it (NULL if it would)."""
-    headers = orders.select(
-        "order_id", "customer_id", "order_date", "ship_via", *_employee_column(orders)
-    )
+    headers = orders.select(*HEADER_COLUMNS, *_employee_column(orders))
     headers = headers.withColumn("_has_order", F.lit(True))
     keyed = _with_keys(order_details, headers, dims, "left", slice_rows)
     missing = {

@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from starmart.plans import dimensions, reports, staging
 from starmart.plans.fact import Dimensions, fact_orders
 from starmart.sources.tables import create_namespace, replace_table
 
-DIMENSION_TABLES = ["dim_product", "dim_customer", "dim_employee", "dim_time", "dim_shipping"]
+
+def _replace_all(
+    namespace: str, frames: dict[str, Callable[[], DataFrame]]
+) -> dict[str, DataFrame]:
+    """Refresh tables that do not depend on each other, so that one's last tasks overlap the next."""
+
+    def refresh(name: str) -> DataFrame:
+        return replace_table(frames[name](), f"{namespace}.{name}")
+
+    with ThreadPoolExecutor(len(frames)) as pool:
+        return dict(zip(frames, pool.map(refresh, frames)))
 
 
 def load_staging(
@@ -16,10 +29,8 @@ def load_staging(
 ) -> dict[str, DataFrame]:
     """Clean the six source files and refresh the staging tables."""
     create_namespace(spark, namespace, location)
-    return {
-        name: replace_table(df, f"{namespace}.{name}")
-        for name, df in staging.staging_tables(spark, folder).items()
-    }
+    frames = staging.staging_tables(spark, folder)
+    return _replace_all(namespace, {name: lambda df=df: df for name, df in frames.items()})
 
 
 def load_dimensions(
@@ -30,18 +41,20 @@ def load_dimensions(
 ) -> Dimensions:
     """Refresh the dimension tables. They are written before the fact looks their keys up."""
     create_namespace(spark, namespace, location)
-    built = {
-        "product": dimensions.dim_product(
-            tables["products"], tables["categories"], tables["products"].count()
-        ),
-        "customer": dimensions.dim_customer(tables["customers"], tables["customers"].count()),
-        "employee": dimensions.dim_employee(tables["employees"], tables["employees"].count()),
-        "time": dimensions.dim_time(tables["orders"]),
-        "shipping": dimensions.dim_shipping(spark),
-    }
-    return Dimensions(
-        **{name: replace_table(df, f"{namespace}.dim_{name}") for name, df in built.items()}
+    products, customers, employees = tables["products"], tables["customers"], tables["employees"]
+    written = _replace_all(
+        namespace,
+        {
+            "dim_product": lambda: dimensions.dim_product(
+                products, tables["categories"], products.count()
+            ),
+            "dim_customer": lambda: dimensions.dim_customer(customers, customers.count()),
+            "dim_employee": lambda: dimensions.dim_employee(employees, employees.count()),
+            "dim_time": lambda: dimensions.dim_time(tables["orders"]),
+            "dim_shipping": lambda: dimensions.dim_shipping(spark),
+        },
     )
+    return Dimensions(**{name.removeprefix("dim_"): df for name, df in written.items()})
 
 
 def load_fact(
@@ -52,19 +65,17 @@ def load_fact(
     return replace_table(fact, f"{namespace}.fact_orders")
 
 
-def report_frames(fact: DataFrame, dims: Dimensions) -> dict[str, DataFrame]:
-    """The five reports."""
-    return {
-        "revenue_by_category_quarter": reports.revenue_by_category_quarter(
-            fact, dims.product, dims.time
-        ),
-        "top_customers": reports.top_customers(fact, dims.customer),
-        "employee_performance": reports.employee_performance(
-            fact, dims.employee, dims.employee.count()
-        ),
-        "shipping_analysis": reports.shipping_analysis(fact, dims.shipping),
-        "weekend_patterns": reports.weekend_patterns(fact, dims.customer, dims.time),
-    }
+REPORTS: dict[str, Callable[[DataFrame, Dimensions], DataFrame]] = {
+    "revenue_by_category_quarter": lambda fact, dims: reports.revenue_by_category_quarter(
+        fact, dims.product, dims.time
+    ),
+    "top_customers": lambda fact, dims: reports.top_customers(fact, dims.customer),
+    "employee_performance": lambda fact, dims: reports.employee_performance(
+        fact, dims.employee, dims.employee.count()
+    ),
+    "shipping_analysis": lambda fact, dims: reports.shipping_analysis(fact, dims.shipping),
+    "weekend_patterns": lambda fact, dims: reports.weekend_patterns(fact, dims.customer, dims.time),
+}
 
 
 def build_warehouse(
@@ -78,4 +89,4 @@ def build_warehouse(
     tables = load_staging(spark, folder, location=base and f"{base}/staging")
     dims = load_dimensions(spark, tables, location=base and f"{base}/datamart")
     fact = load_fact(tables, dims)
-    return report_frames(fact, dims)
+    return {name: report(fact, dims) for name, report in REPORTS.items()}
