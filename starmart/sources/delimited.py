@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from starmart.functions.text import strip, to_null
 from starmart.operators.ranking import row_range
+from starmart.sources.raw_schemas import struct_of
 
 # The dialect of the source files and the rows looked at when types are guessed.
 DIALECT = {
@@ -40,14 +41,14 @@ def scan_delimited(
 ) -> DataFrame:
     """Rows of one or more files with a declared schema.
 
-    Text is unquoted and trimmed, and empty text is NULL. A short row, a value that does not fit its
-    type or a header that differs from the schema fails a ``strict`` scan. Otherwise such a row stays,
-    with its raw line in the column ``_corrupt``. ``line_breaks_in_quotes`` lets a quoted value span
+    Text is unquoted and trimmed, and empty text is NULL. A row of the wrong length, a value that does
+    not fit its type (in a column that is read) or a header that differs from the schema fails a
+    ``strict`` scan. Otherwise such a row stays, with its raw line in ``_corrupt``. ``line_breaks_in_quotes`` lets a quoted value span
     lines; a file is then one task, so it is off unless asked for (a broken line fails a strict scan).
     ``source_order`` adds ``_source``, which sorts rows as they lie in the files.
     """
     reader = spark.read.options(**DIALECT).option("enforceSchema", "false")
-    # Without pruning every row is checked in full, whichever columns a query needs.
+    # Without pruning a row of the wrong length is noticed whichever columns a query needs.
     reader = reader.option("columnPruning", "false").option("multiLine", line_breaks_in_quotes)
     if strict:
         df = reader.option("mode", "FAILFAST").schema(schema).csv(path)
@@ -99,11 +100,12 @@ def infer_schema(spark: SparkSession, path: str, rows: int = INFERENCE_ROWS) ->
         for kind in ("int", "long", "double")
     ]
     seen = first.agg(*fits).first()
-    fields = []
-    for i, name in enumerate(first.columns):
-        kind = next((k for k in ("int", "long", "double") if seen[f"{i}_{k}"]), "string")
-        fields.append(T.StructField(name, T._parse_datatype_string(kind)))
-    return T.StructType(fields)
+    return struct_of(
+        {
+            name: next((k for k in ("int", "long", "double") if seen[f"{i}_{k}"]), "string")
+            for i, name in enumerate(first.columns)
+        }
+    )
 
 
 def write_delimited(df: DataFrame, path: str) -> None:

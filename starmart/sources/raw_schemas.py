@@ -87,10 +87,18 @@ FILES = {
 }
 
 
+TYPES = {
+    "int": T.IntegerType(),
+    "long": T.LongType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    PRICE: T.DecimalType(10, 2),
+    DISCOUNT: T.DecimalType(5, 4),
+}
+
+
 def struct_of(columns: dict[str, str]) -> T.StructType:
-    return T.StructType(
-        [T.StructField(name, T._parse_datatype_string(kind)) for name, kind in columns.items()]
-    )
+    return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in columns.items()])
 
 
 def snake_case(name: str) -> str:
