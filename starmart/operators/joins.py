@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 # SLICE_ROWS rows are left alone; a hot key is cut into slices of about that many rows.
 HOT_PARTS = 10_000
 SLICE_ROWS = 1_000_000
+SLICE = "_slice"
 
 
 def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -29,35 +30,46 @@ def hot_keys(counts: DataFrame, keys: list[str], slice_rows: int = SLICE_ROWS) -
     )
 
 
+def cut(big: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """Add a slice number: 0 for most rows, spread over its slices for a hot key.
+
+    It depends on the row and its input partition only, so a repeated task cuts the same way. Rows
+    without a key match nothing in a join and are spread as well.
+    """
+    spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in big.columns])
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    slices = F.when(no_key, F.lit(HOT_PARTS)).otherwise(F.col("_slices"))
+    number = F.when(slices.isNull(), F.lit(0)).otherwise(F.pmod(spread, slices))
+    marked = big.join(F.broadcast(hot), keys, "left")
+    return marked.select(*big.columns, number.cast("int").alias(SLICE))
+
+
+def repeat(side: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """Add a slice number, with one copy of the row for each slice of its key."""
+    last = F.coalesce(F.col("_slices"), F.lit(1)) - 1
+    marked = side.join(F.broadcast(hot), keys, "left")
+    return marked.select(*side.columns, F.explode(F.sequence(F.lit(0), last)).alias(SLICE))
+
+
+def join_cut(big: DataFrame, side: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join a ``cut`` with a ``repeat`` frame: the result is that of the plain join.
+
+    ``how`` may be inner, left, left_semi or left_anti. Both sides are taken to be large: the join
+    sorts and merges, which spills where a hash table would not fit, and broadcasts neither.
+    """
+    return big.hint("merge").join(side, [*keys, SLICE], how).drop(SLICE)
+
+
 def join_sliced(
     big: DataFrame,
     side: DataFrame,
     keys: list[str],
     how: str = "inner",
-    counts: DataFrame | None = None,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Shuffle join in which the hot keys of ``big`` are spread over many tasks.
-
-    Rows of a hot key get a slice number and the matching rows of ``side`` are repeated once per
-    slice, so the result is that of the plain join. Rows without a key match nothing and are spread
-    too. The slice depends on the row and its input partition only, so a repeated task cuts the same
-    way. ``how`` may be inner, left, left_semi or left_anti; ``counts`` takes a ``key_counts`` frame
-    that is at hand already. Both sides are taken to be large: the join sorts and merges, which spills
-    where a hash table would not fit, and broadcasts neither.
-    """
-    hot = F.broadcast(hot_keys(key_counts(big, keys) if counts is None else counts, keys, slice_rows))
-    spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in big.columns])
-    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    number = F.when(no_key, F.pmod(spread, F.lit(HOT_PARTS))).otherwise(
-        F.coalesce(F.pmod(spread, F.col("_slices")), F.lit(0))
-    )
-    cut = big.join(hot, keys, "left").select(*big.columns, number.cast("int").alias("_slice"))
-    last = F.coalesce(F.col("_slices"), F.lit(1)) - 1
-    repeated = side.join(hot, keys, "left").select(
-        *side.columns, F.explode(F.sequence(F.lit(0), last)).alias("_slice")
-    )
-    return cut.hint("merge").join(repeated, [*keys, "_slice"], how).drop("_slice")
+    """Shuffle join in which the hot keys of ``big`` are spread over many tasks."""
+    hot = hot_keys(key_counts(big, keys), keys, slice_rows)
+    return join_cut(cut(big, hot, keys), repeat(side, hot, keys), keys, how)
 
 
 def lookup(df: DataFrame, dimension: DataFrame, key: str, how: str = "inner") -> DataFrame:

@@ -9,7 +9,17 @@ from pyspark.sql import functions as F
 
 from starmart.functions.numbers import freight_share, line_amount
 from starmart.operators.filters import first_match
-from starmart.operators.joins import SLICE_ROWS, join_sliced, key_counts, lookup
+from starmart.operators.joins import (
+    SLICE,
+    SLICE_ROWS,
+    cut,
+    hot_keys,
+    join_cut,
+    join_sliced,
+    key_counts,
+    lookup,
+    repeat,
+)
 from starmart.operators.keys import number_rows, sparse_key
 
 FACT_COLUMNS = [
@@ -25,7 +35,8 @@ FACT_COLUMNS = [
     "total_amount",
     "freight_allocation",
 ]
-HEADER_COLUMNS = ["order_id", "customer_id", "order_date", "ship_via", "freight"]
+HEADER_COLUMNS = ["order_id", "customer_id", "order_date", "ship_via"]
+LINE_COLUMNS = ["order_id", "product_id", "unit_price", "quantity", "discount"]
 
 
 @dataclass(frozen=True)
@@ -56,31 +67,25 @@ def _with_employee(df: DataFrame, dims: Dimensions, how: str) -> DataFrame:
     return lookup(df, dims.employee.select("employee_id", "employee_key"), "employee_id", how)
 
 
-def _with_keys(
-    order_details: DataFrame, orders: DataFrame, dims: Dimensions, how: str, slice_rows: int
-) -> DataFrame:
-    """Lines with their order's columns and the surrogate keys of the five dimensions.
-
-    What hangs on the order is worked out once per order, before the join with the lines: the lookups
-    and its lines' share of the freight. The sales employee is looked up on whichever of the two
-    inputs names one. An order may hold any number of lines, so that join is sliced; the line counts
-    it needs are the ones the freight split needs.
-    """
-    counts = key_counts(order_details, ["order_id"])
-    headers = _with_date_and_shipper(orders, dims, how)
+def _keyed_headers(orders: DataFrame, dims: Dimensions, how: str) -> DataFrame:
+    """Orders with the surrogate keys of what hangs on the order, looked up once per order."""
     customers = dims.customer.select("customer_id", "customer_key")
-    headers = _with_employee(lookup(headers, customers, "customer_id", how), dims, how)
-    headers = headers.drop("order_date", "ship_via", "customer_id", "employee_id")
-    share = freight_share(F.col("freight"), F.col("_rows"))
-    headers = headers.join(counts, "order_id").withColumn("freight_allocation", share)
-    headers = headers.drop("freight", "_rows")
-    lines = join_sliced(
-        order_details, headers, ["order_id"], how, counts=counts, slice_rows=slice_rows
-    )
+    headers = lookup(_with_date_and_shipper(orders, dims, how), customers, "customer_id", how)
+    headers = _with_employee(headers, dims, how)
+    return headers.drop("order_date", "ship_via", "customer_id", "employee_id")
+
+
+def _keyed_lines(lines: DataFrame, dims: Dimensions, how: str) -> DataFrame:
+    """Lines with the surrogate keys of what hangs on the line."""
     products = dims.product.select("product_id", "product_key")
     return _with_employee(lookup(lines, products, "product_id", how), dims, how)
 
 
+def _employee_column(df: DataFrame) -> list[str]:
+    """The sales employee may be named by the order or by the line."""
+    return [c for c in df.columns if c == "employee_id"]
+
+
 def fact_lines(
     order_details: DataFrame,
     orders: DataFrame,
@@ -90,19 +95,29 @@ def fact_lines(
 ) -> DataFrame:
     """The fact without its key: one row per order line whose order, product, customer, employee,
     date and shipper are all known. The dimension lookups prove that the parents exist.
+
+    What hangs on the order is worked out once per order, before the join with the lines: four lookups
+    and the lines' share of the freight. An order may hold any number of lines, so that join is
+    sliced; the counts it needs are the ones the freight split needs. Headers meet their counts slice
+    by slice already, so they are shuffled once for both joins.
     """
-    line_columns = ["order_id", "product_id", "unit_price", "quantity", "discount", *extra]
-    headers = orders.select(*HEADER_COLUMNS, *_employee_column(orders))
-    lines = order_details.select(*line_columns, *_employee_column(order_details))
-    keyed = _with_keys(lines, headers, dims, "inner", slice_rows)
+    key = ["order_id"]
+    headers = orders.select(*HEADER_COLUMNS, "freight", *_employee_column(orders))
+    lines = order_details.select(*LINE_COLUMNS, *extra, *_employee_column(order_details))
+    counts = key_counts(lines, key)
+    hot = hot_keys(counts, key, slice_rows)
+    share = freight_share(F.col("freight"), F.col("_rows"))
+    headers = (
+        repeat(_keyed_headers(headers, dims, "inner"), hot, key)
+        .join(repeat(counts, hot, key), [*key, SLICE])
+        .withColumn("freight_allocation", share)
+        .drop("freight", "_rows")
+    )
+    keyed = _keyed_lines(join_cut(cut(lines, hot, key), headers, key), dims, "inner")
     amount = line_amount(F.col("unit_price"), F.col("quantity"), F.col("discount"))
     return keyed.withColumn("total_amount", amount).select(*FACT_COLUMNS, *extra)
 
 
-def _employee_column(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c == "employee_id"]
-
-
 def fact_orders(
     order_details: DataFrame, orders: DataFrame, dims: Dimensions, gaps: bool = False
 ) -> DataFrame:
@@ -116,8 +131,9 @@ def line_fates(
 ) -> DataFrame:
     """Every order line with the first reason why the fact would not hold it (NULL if it would)."""
     headers = orders.select(*HEADER_COLUMNS, *_employee_column(orders))
-    headers = headers.withColumn("_has_order", F.lit(True))
-    keyed = _with_keys(order_details, headers, dims, "left", slice_rows)
+    headers = _keyed_headers(headers, dims, "left").withColumn("_has_order", F.lit(True))
+    lines = join_sliced(order_details, headers, ["order_id"], "left", slice_rows)
+    keyed = _keyed_lines(lines, dims, "left")
     missing = {
         "no order": "_has_order",
         "no product": "product_key",
