@@ -37,12 +37,10 @@ def number_rows(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, "numbered")
-    (
-        df.withColumn("_task", F.spark_partition_id())
-        .withColumn("_position", F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_BITS)))
-        .write.parquet(path)
-    )
-    placed = spark.read.parquet(path)
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_BITS))
+    placing = df.select("*", F.spark_partition_id().alias("_task"), position.alias("_position"))
+    placing.write.parquet(path)
+    placed = spark.read.schema(placing.schema).parquet(path)
     earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("_task")

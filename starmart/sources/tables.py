@@ -34,7 +34,7 @@ def replace_table(df: DataFrame, name: str) -> DataFrame:
     path = _new_version(spark, name)
     df.write.parquet(path)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    return spark.catalog.createTable(name, path=path, source="parquet")
+    return spark.catalog.createTable(name, path=path, source="parquet", schema=df.schema)
 
 
 def create_table(
