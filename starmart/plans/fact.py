@@ -15,7 +15,6 @@ from starmart.operators.joins import (
     cut,
     hot_keys,
     join_cut,
-    join_sliced,
     key_counts,
     lookup,
     repeat,
@@ -99,7 +98,8 @@ def fact_lines(
     What hangs on the order is worked out once per order, before the join with the lines: four lookups
     and the lines' share of the freight. An order may hold any number of lines, so that join is
     sliced; the counts it needs are the ones the freight split needs. Headers meet their counts slice
-    by slice already, so they are shuffled once for both joins.
+    by slice already, so they are shuffled once for both joins. The join with the order comes last, so
+    that the lines of an order lie together in the fact and reports can reduce them where they lie.
     """
     key = ["order_id"]
     headers = orders.select(*HEADER_COLUMNS, "freight", *_employee_column(orders))
@@ -113,9 +113,10 @@ def fact_lines(
         .withColumn("freight_allocation", share)
         .drop("freight", "_rows")
     )
-    keyed = _keyed_lines(join_cut(cut(lines, hot, key), headers, key), dims, "inner")
     amount = line_amount(F.col("unit_price"), F.col("quantity"), F.col("discount"))
-    return keyed.withColumn("total_amount", amount).select(*FACT_COLUMNS, *extra)
+    keyed = _keyed_lines(lines, dims, "inner").drop("product_id", "employee_id")
+    joined = join_cut(cut(keyed, hot, key), headers, key)
+    return joined.withColumn("total_amount", amount).select(*FACT_COLUMNS, *extra)
 
 
 def fact_orders(
@@ -132,8 +133,10 @@ def line_fates(
     """Every order line with the first reason why the fact would not hold it (NULL if it would)."""
     headers = orders.select(*HEADER_COLUMNS, *_employee_column(orders))
     headers = _keyed_headers(headers, dims, "left").withColumn("_has_order", F.lit(True))
-    lines = join_sliced(order_details, headers, ["order_id"], "left", slice_rows)
-    keyed = _keyed_lines(lines, dims, "left")
+    keyed = _keyed_lines(order_details, dims, "left")
+    key = ["order_id"]
+    hot = hot_keys(key_counts(order_details, key), key, slice_rows)
+    keyed = join_cut(cut(keyed, hot, key), repeat(headers, hot, key), key, "left")
     missing = {
         "no order": "_has_order",
         "no product": "product_key",
