@@ -29,3 +29,24 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = "_" + name
     return name
+
+
+#: Rows of a table that is broadcast after they were counted; a larger one is joined as Spark chooses.
+BROADCAST_ROWS = 500_000
+#: A group with at least this share of all rows is joined by broadcast; there are at most 1 / share such groups.
+HOT_SHARE = 1 / 1000
+
+
+def if_small(df: DataFrame, rows: int) -> DataFrame:
+    """The table with a broadcast hint if its counted rows are few."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
+    """Rows with the columns of their group, of which ``groups`` has one row by ``keys`` with its ``size``.
+
+    Rows of hot groups take a broadcast of those groups; all others are joined by sort and merge.
+    """
+    hot = F.broadcast(groups.filter((F.col(size) > 1) & (F.col(size) >= HOT_SHARE * total)))
+    rest = rows.join(hot.select(*keys), keys, "left_anti")
+    return rows.join(hot, keys).unionByName(rest.join(groups.hint("merge"), keys))

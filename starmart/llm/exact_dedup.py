@@ -18,12 +18,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm.columns import ascii_lower
+from starmart.llm.columns import ascii_lower, join_groups
 from starmart.session import scratch_path
 
-#: A group with at least this share of all rows is joined by broadcast; there are at most 1 / share such groups.
-HOT_SHARE = 1 / 1000
-
 
 def digests(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, digest) of every row, written to the shared folder and read again."""
@@ -90,15 +87,10 @@ class DigestIndex:
         return other
 
     def look_up(self, rows: DataFrame) -> DataFrame:
-        """(id, digest) rows with the index's columns; every row has its digest in the index.
-
-        Rows of hot groups take a broadcast of those groups, all others meet the index bucket by bucket.
-        """
+        """(id, digest) rows with the index's columns; every row has its digest in the index."""
         index = self.read()
         total = index.agg(F.sum("group_size")).first()[0] or 0
-        hot = F.broadcast(index.filter((F.col("group_size") > 1) & (F.col("group_size") >= HOT_SHARE * total)))
-        rest = rows.join(hot.select("digest"), "digest", "left_anti")
-        return rows.join(hot, "digest").unionByName(rest.join(index.hint("merge"), "digest"))
+        return join_groups(rows, index, ["digest"], "group_size", total)
 
 
 def deduplicate(docs: DataFrame, index: DigestIndex, *, id: str = "doc_id", text: str = "text") -> DataFrame:

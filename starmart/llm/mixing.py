@@ -24,12 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from starmart.llm.columns import free_name
+from starmart.llm.columns import free_name, if_small
 from starmart.session import scratch_path
 
 BISECTIONS = 60
-#: Rows of a table that is broadcast; a larger one is joined as Spark chooses.
-BROADCAST_ROWS = 200_000
 
 
 def entropy(weights: list[float]) -> float:
@@ -128,8 +126,8 @@ class Mix:
             docs.withColumns({key: _key(F.col(source)), ident: F.coalesce(F.col(id).cast("string"), F.lit("null"))})
             .join(per_source, key)
             .withColumn(block, F.pmod(_draw(F.lit("block"), F.col(ident)), F.col(blocks)))
-            .join(_small(whole, self.whole_rows), [key, block], "left")
-            .join(_small(edge, self.edge_rows), [key, ident], "left")
+            .join(if_small(whole, self.whole_rows), [key, block], "left")
+            .join(if_small(edge, self.edge_rows), [key, ident], "left")
         )
         partial = F.coalesce(F.col(found + "w"), F.col(found + "e"), F.lit(0))
         copies = F.col(passes) + partial
@@ -137,10 +135,6 @@ class Mix:
         return rows.filter(copies > 0).select(*[F.col(f"`{n}`") for n in names], number)
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def plan_mix(
     docs: DataFrame,
     tokens: Column,

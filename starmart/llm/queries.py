@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import byte_bpe, exact_dedup, language_id, mixing
+from starmart.llm import byte_bpe, exact_dedup, language_id, mixing, near_dedup
 from starmart.llm.columns import in_class
+from starmart.llm.shipping import ship_package
 from starmart.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,7 +19,11 @@ ORACLES: dict[str, str] = {}
 
 
 def query(build: Query) -> Query:
-    QUERIES[build.__name__] = build
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return build(spark, sf_dir)
+
+    QUERIES[build.__name__] = run
     return build
 
 
@@ -58,6 +63,56 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_duplicates(read(spark, sf_dir, "documents"), words=2)
+    return found.select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "kept"
+    )
+
+
+ORACLES["op4_near_dedup"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(
+    string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) < 2 THEN [list_aggregate(ws, 'string_agg', ' ')]
+    ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS sh
+  FROM w WHERE len(ws) > 0
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), often AS (
+  SELECT sh, count(*) AS c FROM s GROUP BY sh
+), ranked AS (
+  SELECT s.doc_id, s.sh, n.n, row_number() OVER (PARTITION BY s.doc_id ORDER BY often.c, s.sh) AS r
+  FROM s JOIN often USING (sh) JOIN n USING (doc_id)
+), rare AS (
+  SELECT doc_id, sh, n FROM ranked WHERE r <= n - ceil(0.8 * n) + 1
+), cand AS (
+  SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM rare a JOIN rare b ON a.sh = b.sh AND a.doc_id < b.doc_id
+  WHERE 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+), common AS (
+  SELECT a, b, count(*) AS c FROM cand JOIN s sa ON sa.doc_id = a JOIN s sb ON sb.doc_id = b AND sb.sh = sa.sh
+  GROUP BY a, b
+), link AS (
+  SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)
+), both_ways AS (
+  SELECT a, b FROM link UNION SELECT b, a FROM link
+), reach AS (
+  SELECT a AS doc_id, a AS other FROM both_ways
+  UNION
+  SELECT r.doc_id, e.b FROM reach r JOIN both_ways e ON r.other = e.a
+), least_id AS (
+  SELECT doc_id, min(other) AS c FROM reach GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(l.c, d.doc_id) AS component_id,
+       coalesce(l.c, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN least_id l USING (doc_id)
+"""
+
+
 @query
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
