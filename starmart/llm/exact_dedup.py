@@ -15,21 +15,23 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.llm.columns import ascii_lower, join_groups
 from starmart.session import scratch_path
 
 
+def digest_of(text: Column) -> Column:
+    """SHA-256 of the text with A-Z in lower case, in UTF-8."""
+    return F.unhex(F.sha2(ascii_lower(text).cast("binary"), 256))
+
+
 def digests(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, digest) of every row, written to the shared folder and read again."""
     spark = docs.sparkSession
     path = scratch_path(spark, "digests")
-    rows = docs.select(
-        F.col(id).alias("id"), F.unhex(F.sha2(ascii_lower(F.col(text)).cast("binary"), 256)).alias("digest")
-    )
-    rows.write.parquet(path)
+    docs.select(F.col(id).alias("id"), digest_of(F.col(text)).alias("digest")).write.parquet(path)
     return spark.read.parquet(path)
 
 
