@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import byte_bpe, exact_dedup, language_id, mixing, near_dedup
+from starmart.llm import byte_bpe, exact_dedup, language_id, mixing, near_dedup, quality, token_counts, toxicity
 from starmart.llm.columns import in_class
 from starmart.llm.shipping import ship_package
 from starmart.session import scratch_path
@@ -135,3 +135,30 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, h AS text_sha256
 FROM d WINDOW w AS (PARTITION BY h)
 """
+
+
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.count_tokens(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    docs = read(spark, sf_dir, "documents")
+    return docs.select("doc_id", counts(F.col("text")).alias("c")).select("doc_id", "c.n_words", "c.n_tokens")
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = in_class(F.col("doc_id"), 5, 0)
+    model = quality.fit(docs, read(spark, sf_dir, "labels"), ~held_out)
+    return docs.select("doc_id", held_out.alias("held_out"), quality.score(model)("text").alias("score")).withColumn(
+        "predicted", (F.col("score") >= 0.3).cast("int")
+    )
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = in_class(F.col("doc_id"), 5, 0)
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"), ~held_out)
+    return docs.select("doc_id", held_out.alias("held_out"), toxicity.score(model)("text").alias("score")).withColumn(
+        "predicted", (F.col("score") >= 0.5).cast("int")
+    )
