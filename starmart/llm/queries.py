@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import byte_bpe, exact_dedup, language_id, mixing, near_dedup, quality, token_counts, toxicity
+from starmart.llm import byte_bpe, exact_dedup, language_id, mixing, near_dedup, quality, token_counts, topk, toxicity
 from starmart.llm.columns import in_class
 from starmart.llm.shipping import ship_package
 from starmart.session import scratch_path
@@ -162,3 +162,25 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", held_out.alias("held_out"), toxicity.score(model)("text").alias("score")).withColumn(
         "predicted", (F.col("score") >= 0.5).cast("int")
     )
+
+
+@query
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+ORACLES["op8_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e::DOUBLE[], c.e::DOUBLE[]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
