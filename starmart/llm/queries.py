@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import byte_bpe, exact_dedup, language_id, mixing, near_dedup, quality, token_counts, topk, toxicity
+from starmart.llm import byte_bpe, exact_dedup, html_extraction, language_id, mixing, near_dedup, quality, token_counts, topk, toxicity
 from starmart.llm.columns import in_class
 from starmart.llm.shipping import ship_package
 from starmart.session import scratch_path
@@ -184,3 +184,10 @@ WITH v AS (
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+
+@query
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    found = pages.select("page_id", "url", html_extraction.extract()("html").alias("text"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
