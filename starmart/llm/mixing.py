@@ -63,7 +63,7 @@ def exponent_for(tokens: list[int], target_entropy: float, max_repeats: float) -
     tokens = [t for t in tokens if t]
     if len(tokens) < 2:
         return 1.0
-    goal = target_entropy * math.log(len(tokens))
+    goal = target_entropy * math.log(len(tokens)) - 1e-9
     exponent = _bisect(lambda x: entropy(tempered(tokens, x)) >= goal, 0.0, 1.0)
     if _repeats(tokens, tempered(tokens, exponent)) > max_repeats:
         exponent = 1.0 - _bisect(lambda x: _repeats(tokens, tempered(tokens, 1.0 - x)) <= max_repeats, 0.0, 1.0)

@@ -23,7 +23,7 @@ from starmart.llm.arrays import Words, slices
 
 #: Bounds of the sample that the classifier is fitted on.
 POSITIVES, UNLABELLED = 4000, 8000
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 _UPPER = np.zeros(256, bool)
 _UPPER[0x41:0x5B] = True
@@ -125,12 +125,10 @@ def fit(
     )
     found = rows.select("positive", features("text").alias("x")).collect()
     found.sort(key=lambda r: (r["positive"], r["x"]))
-    x = np.array([r["x"] for r in found]).reshape(len(found), -1)
     positive = np.array([r["positive"] for r in found], bool)
-    if not len(found):
-        x = np.zeros((0, len(describe([b""])[0])))
-    mean = x.mean(axis=0) if len(x) else np.zeros(x.shape[1])
-    scale = x.std(axis=0) + 1e-3 if len(x) else np.ones(x.shape[1])
+    x = np.array([r["x"] for r in found]) if found else np.zeros((0, describe([b""]).shape[1]))
+    mean = x.mean(axis=0) if found else np.zeros(x.shape[1])
+    scale = x.std(axis=0) + 1e-3 if found else np.ones(x.shape[1])
     x = (x - mean) / scale
     return QualityModel(mean, scale, pu_learning.fit(x[positive], x[~positive], prior))
 

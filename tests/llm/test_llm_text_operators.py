@@ -1,0 +1,273 @@
+"""Language, byte pairs, token counts, pages: against brute force and the public libraries."""
+
+from __future__ import annotations
+
+import html
+import random
+import re
+
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+from starmart.llm import byte_bpe, html_extraction, language_id, token_counts
+from starmart.llm.arrays import Words, slices
+from starmart.llm.queries import QUERIES
+from starmart.llm.shipping import ship_package
+
+SF_DIR = "/root/testdata/sf0.001"
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+EDGES = [None, "", " ", "\n\t ", "a", "A.", "123 456", "é", "日本語 テキスト", "привет мир", "x" * 5000, "ab " * 3000,
+         "🎉 ok", "don't  stop\r\n\r\n now ", "the the the", "the the the"]
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    return [r.text for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").orderBy("doc_id").collect()]
+
+
+@pytest.fixture(scope="module")
+def edges(spark):
+    """Rows of edge texts, with columns whose names clash with those of results."""
+    ship_package(spark)
+    rows = [(i, t, 0.5, "x", 1) for i, t in enumerate(EDGES)]
+    return spark.createDataFrame(rows, "doc_id long, text string, score double, lang string, n_tokens int").repartition(3)
+
+
+# Words
+
+
+def test_words_and_hashes():
+    words = Words([b"one  two", b"", b" \n", b"two one\x0btwo"])
+    assert list(words.first) == [0, 2, 2, 2, 5]
+    assert [bytes(words.data[a:b]) for a, b in zip(words.start, words.end)] == [b"one", b"two", b"two", b"one", b"two"]
+    h = words.hashes()
+    assert h[1] == h[2] == h[4] and h[0] == h[3] != h[1]
+    assert Words([b"xx yy two"]).hashes()[2] == h[1]
+
+
+def test_slices_hold_every_text_once():
+    data = [b"x" * n for n in (0, 5, 3, 100, 1, 1)]
+    parts = list(slices(data, 6))
+    assert [i for a, b in parts for i in range(a, b)] == list(range(6))
+    assert list(slices([], 6)) == []
+
+
+# Language
+
+
+def normal(text):
+    return re.sub(" +", " ", "".join(c if c.isalpha() else " " for c in text.lower())).lstrip()
+
+
+def phrases(sample, text):
+    count = at = 0
+    while at < len(text):
+        end = at + 1
+        while end <= len(text) and text[at:end] in sample:
+            end += 1
+        at, count = max(at + 1, end - 1), count + 1
+    return count
+
+
+def test_phrases_equal_brute_force(texts):
+    model = language_id.LanguageModel((("a", "the cat sat on the mat"), ("b", "der hund und die katze"), ("c", texts[0][:400])))
+    parser = language_id.CrossParser(model)
+    some = ["the mat", "und die", "", "xyz", "THE CAT!! 12 sat", *[t[:500] for t in texts[:30]]]
+    found, _ = parser.phrases(some)
+    for row, text in zip(found, some):
+        assert list(row) == [phrases(normal(s), normal(text)) for _, s in model.samples]
+
+
+def test_blocks_change_little(texts):
+    parser = language_id.CrossParser(language_id.LanguageModel((("a", texts[0]), ("b", texts[1]))))
+    long = " ".join(texts[:20])
+    found, sizes = parser.phrases([long])
+    whole = [phrases(normal(s), normal(long)) for s in (texts[0], texts[1])]
+    for own, brute in zip(found[0], whole):
+        assert brute <= own <= brute + sizes[0] // language_id.BLOCK + 1
+
+
+def test_language_of_edge_texts(spark, edges):
+    train = spark.createDataFrame(
+        [(1, "the cat and the dog", "en"), (2, "le chat et le chien", "fr"), (3, None, "fr"), (4, "x", None), (None, "y", "en")],
+        "doc_id long, text string, lang string",
+    )
+    model = language_id.fit(train, F.lit(True))
+    assert [name for name, _ in model.samples] == ["en", "fr"]
+    got = {r.doc_id: r.r for r in edges.select("doc_id", language_id.identify(model)("text").alias("r")).collect()}
+    assert len(got) == len(EDGES)
+    for i, text in enumerate(EDGES):
+        letters = bool(text) and any(map(str.isalpha, text))
+        assert (got[i].lang in ("en", "fr")) == letters and (got[i].lang == "und") == (not letters)
+        assert 0 <= got[i].score <= 1 and 0 <= got[i].known <= 1
+    assert got[EDGES.index("привет мир")].known == 0 and got[EDGES.index("the the the")].lang == "en"
+
+
+def test_language_without_labels_or_rows(spark, edges):
+    model = language_id.fit(edges, F.lit(False))
+    assert {r[0].lang for r in edges.select(language_id.identify(model)("text")).collect()} == {"und"}
+    assert edges.limit(0).select(language_id.identify(model)("text")).count() == 0
+
+
+def test_held_out_language(spark):
+    got = QUERIES["op2_language_id"](spark, "/root/testdata/sf0.01")
+    rows = got.join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang"), "doc_id")
+    right = rows.filter("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
+    assert right > 0.97
+
+
+# Byte pairs
+
+
+@pytest.fixture(scope="module")
+def bpe():
+    return byte_bpe.load(RANKS, public_tokenizers.PATTERN)
+
+
+@pytest.fixture(scope="module")
+def public(bpe):
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.ranks, special_tokens={})
+
+
+def test_encoding_equals_the_library(bpe, public, texts):
+    draw = random.Random(1)
+    made = ["".join(draw.choice("aeinst  \n'é日кот123!!=-_\t🎉\x1c\x85　²") for _ in range(60)) for _ in range(300)]
+    for text in [*texts[:100], *made, *[t or "" for t in EDGES]]:
+        ids = bpe.encode(text)
+        assert ids == public.encode_ordinary(text)
+        assert bpe.decode(ids) == text.encode()
+        assert bpe.encode_with_text(text) == (ids, ",".join(map(str, ids)))
+
+
+def test_pairs_that_stand_together(bpe):
+    draw, tokens = random.Random(2), list(bpe.proper.values())
+    for _ in range(5000):
+        a, b = draw.choice(tokens), draw.choice(tokens)
+        assert bpe.stand_together(a, b) == (bpe._merged(bpe.tokens[a] + bpe.tokens[b]) == [a, b])
+
+
+def test_append_and_replace_are_exact(bpe):
+    draw = random.Random(3)
+    for _ in range(100):
+        data = bytes(draw.choice(b"aeinst the") for _ in range(draw.randrange(1, 300)))
+        table = byte_bpe.PrefixTable(bpe, data[:40])
+        table.append(data[40:])
+        assert table.last == byte_bpe.PrefixTable(bpe, data).last
+        start = draw.randrange(len(data) + 1)
+        end, by = min(len(data), start + draw.randrange(5)), bytes(draw.choice(b"aeth") for _ in range(draw.randrange(5)))
+        table.replace(start, end, by)
+        assert table.data == data[:start] + by + data[end:]
+        assert table.last == byte_bpe.PrefixTable(bpe, table.data).last
+        assert table.ids() == bpe._merged(table.data)
+
+
+def test_an_edit_computes_few_entries(bpe):
+    table = byte_bpe.PrefixTable(bpe, b"the cat sat on the mat and so on " * 200)
+    assert table.replace(100, 101, b"x") < 200
+
+
+def test_a_small_memory_changes_nothing(bpe, texts):
+    small = byte_bpe.Recent(bpe._remember, most=7)
+    for piece in bpe.cut.findall(texts[0]) * 2:
+        assert small[piece][0] == tuple(bpe.encode_piece(piece.encode()))
+    assert len(small) <= 7 and len(small._older) <= 7
+
+
+def test_columns_of_ids(spark, edges, public):
+    encode, decode = (f(RANKS, public_tokenizers.PATTERN) for f in (byte_bpe.encode, byte_bpe.decode))
+    both = byte_bpe.round_trip(RANKS, public_tokenizers.PATTERN)
+    rows = edges.withColumn("ids", encode("text")).select("doc_id", "ids", decode("ids").alias("back"), both("text").alias("b"))
+    for r in rows.collect():
+        text = EDGES[r.doc_id] or ""
+        assert r.ids == public.encode_ordinary(text) and bytes(r.back) == text.encode()
+        assert (r.b.ids, r.b.n_tokens, bytes(r.b.decoded)) == (",".join(map(str, r.ids)), len(r.ids), text.encode())
+
+
+# Token counts
+
+
+def greedy(vocabulary, word):
+    count = at = 0
+    while at < len(word):
+        end = next((e for e in range(len(word), at, -1) if word[at:e] in vocabulary), None)
+        if end is None:
+            return 1
+        at, count = end, count + 1
+    return count
+
+
+def test_word_lengths_equal_greedy_cutting():
+    draw = random.Random(4)
+    for _ in range(30):
+        vocabulary = {bytes(draw.choice(b"ab ") for _ in range(draw.randrange(1, 5))) for _ in range(draw.randrange(1, 12))}
+        automaton = token_counts.LongestMatch(vocabulary)
+        for _ in range(60):
+            word = bytes(draw.choice(b"abc") for _ in range(draw.randrange(1, 12)))
+            assert automaton.length(word) == greedy(vocabulary, b" " + word), (vocabulary, word)
+
+
+def test_token_counts_of_texts(spark, edges, texts):
+    vocabulary = set(byte_bpe.read_ranks(RANKS))
+    count = token_counts.count_tokens(RANKS)
+    for r in edges.select("doc_id", count("text").alias("c")).collect():
+        words = (EDGES[r.doc_id] or "").encode().split()
+        assert (r.c.n_words, r.c.n_tokens) == (len(words), sum(greedy(vocabulary, b" " + w) for w in words))
+    assert edges.limit(0).select(count("text")).count() == 0
+    got = {r.doc_id: r.n_tokens for r in QUERIES["op6_token_counts"](spark, SF_DIR).collect()}
+    assert got[5] == sum(greedy(vocabulary, b" " + w) for w in texts[5].encode().split())
+
+
+# Pages
+
+PAGE = """<html><head><title>T</title></head><body class="has-sidebar"><div class="cookie-notice">We use cookies, please
+accept them all now.</div><header><h1>Site</h1></header><nav><a href=x>A</a></nav><main><article><header><h1>Real title</h1>
+</header><p>Short.</p><p>First &amp; para&nbsp;with <a href="x">link</a> text.</p><aside>Related stuff here</aside>
+<div class="ad">Buy now</div><blockquote>Quote  it</blockquote><ul><li>item one</li></ul><form><label>Name</label></form>
+<p>Last one<script>x</script><!-- no --></p></article><section class="comments"><article class="comment"><p>Nice post, I liked
+it very much indeed!</p></article></section></main><div id="sidebar">Popular things</div><footer>&copy; x"""
+
+
+def test_parts_of_a_page():
+    tree = html_extraction.train()
+    assert html_extraction.extract_page(PAGE, tree).split("\n") == [
+        "Real title", "Short.", "First & para with link text.", "Quote it", "item one", "Last one",
+    ]
+
+
+def test_page_without_named_parts():
+    page = f"<div><a href=a>Home</a> <a href=b>News</a></div><h1>Head line</h1><p>{'word ' * 30}</p><p>Short</p><p>{'more ' * 40}"
+    got = html_extraction.extract_page(page, html_extraction.train()).split("\n")
+    assert [g[:9] for g in got] == ["Head line", "word word", "Short", "more more"]
+
+
+def test_the_tree_knows_its_table():
+    import numpy as np
+
+    table = np.array(html_extraction.LABELLED, float)
+    wrong = html_extraction.decide(html_extraction.train(), table[:, :-1]) != (table[:, -1] > 0)
+    assert wrong.sum() <= 2
+
+
+def test_broken_pages(spark):
+    ship_package(spark)
+    pages = [None, "", "<", "plain text", "<p>x", "a<b>c", "&am", "<div " + "\"'" * 20000, "<" * 50000, "<!--" * 9000,
+             "<script>" * 9000, "<p>" + "long " * 40000]
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id int, html string").withColumn("text", F.lit("clash"))
+    got = {r.page_id: r.t for r in df.select("page_id", html_extraction.extract()("html").alias("t")).collect()}
+    assert got[0] == got[1] == "" and got[3] == "plain text" and got[4] == "x" and got[5] == "ac"
+    assert got[11] == ("long " * 40000).strip()
+    assert df.limit(0).select(html_extraction.extract()("html")).count() == 0
+
+
+def test_pages_equal_their_articles(spark):
+    got = {r.page_id: r for r in QUERIES["op9_html_extraction"](spark, SF_DIR).collect()}
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()
+    assert len(got) == len(pages)
+    for page in pages:
+        article = re.search(r"<article>(.*?)(?:</article>|\Z)", page.html, re.S)[1]
+        blocks = [" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:p|h1|br)>", article)]
+        assert got[page.page_id].text == "\n".join(b for b in blocks if b)
+        assert got[page.page_id].n_chars == len(got[page.page_id].text)
