@@ -43,6 +43,7 @@ lines AS (
 
 COUNTS = "counts AS (SELECT order_id, count(*) AS line_count FROM lines GROUP BY order_id)"
 
+# The shippers.
 SHIPPERS = """shippers(ship_via_id, shipper_name) AS (
   VALUES (1, 'Speedy Express'), (2, 'United Package'), (3, 'Federal Shipping'))"""
 
@@ -144,6 +145,21 @@ ORACLES: dict[str, str] = {
         select=f"""
     SELECT product_id, {_money('price_cents')} AS unit_price FROM copies ORDER BY product_id OFFSET 100""",
     ),
+    "row_range_limited": _sql(
+        COPIES,
+        select=f"""
+    SELECT product_id, {_money('price_cents')} AS unit_price FROM copies ORDER BY product_id LIMIT 50 OFFSET 100""",
+    ),
+    "decimal_text": _sql(
+        LINES,
+        select=f"""
+    SELECT order_id, product_id, CASE WHEN quantity <= 40 THEN {_money('price_cents')} END AS unit_price,
+      quantity > 40 AS corrupt FROM lines""",
+    ),
+    "inferred_types": """
+    SELECT 'OrderID' AS column_name, CASE WHEN max(l_orderkey) < 2147483648 THEN 'int' ELSE 'bigint' END AS type FROM lineitem
+    UNION ALL SELECT 'ProductID', CASE WHEN max(l_partkey) < 2147483648 THEN 'int' ELSE 'bigint' END FROM lineitem
+    UNION ALL VALUES ('UnitPrice', 'double'), ('Quantity', 'string'), ('Discount', 'double')""",
     "table_sink_append": _sql(
         PLACES,
         select="""
@@ -168,6 +184,18 @@ ORACLES: dict[str, str] = {
         CASE WHEN price_cents >= 100000 THEN 'price out of range' END,
         CASE WHEN copy = 1 THEN 'duplicate key' END), '') AS write_error FROM copies)""",
     ),
+    "write_status_exact_copies": _sql(
+        SAME_KEY_COPIES,
+        select="""
+    SELECT product_id, 1 - copy AS write_status, CASE WHEN copy = 1 THEN 'duplicate key' END AS write_error FROM copies""",
+    ),
+    "refused_rows": _sql(
+        SAME_KEY_COPIES,
+        select="""
+    SELECT product_id, copy, concat_ws('; ', CASE WHEN size = 7 THEN 'no product_name' END,
+      CASE WHEN copy = 1 THEN 'duplicate key' END) AS write_error
+    FROM copies WHERE size = 7 OR copy = 1""",
+    ),
     "exclude_columns": _sql(
         PLACES, select="SELECT c_custkey AS customer_id, c_name AS company_name, n_name AS country FROM places"
     ),
@@ -319,6 +347,15 @@ ORACLES: dict[str, str] = {
     SELECT CASE WHEN parsed_date IS NULL THEN 'no order date' ELSE 'kept' END AS reason, count(*) AS lines
     FROM lines JOIN headers USING (order_id) GROUP BY 1""",
     ),
+    "dropped_line_reasons": """
+    SELECT CASE WHEN o_orderkey IS NULL OR o_orderkey % 13 = 4 THEN 'no order'
+      WHEN l_partkey % 11 = 3 OR l_partkey NOT IN (SELECT p_partkey FROM part) THEN 'no product'
+      WHEN o_custkey % 7 = 2 OR o_custkey NOT IN (SELECT c_custkey FROM customer) THEN 'no customer'
+      WHEN l_suppkey % 5 = 1 OR l_suppkey NOT IN (SELECT s_suppkey FROM supplier) THEN 'no employee'
+      WHEN o_orderstatus = 'O' THEN 'no order date'
+      WHEN o_orderkey % 3 + 1 = 3 THEN 'no shipper'
+      ELSE 'kept' END AS reason, count(*) AS lines
+    FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""",
     "revenue_by_category_quarter": _sql(
         *STAR,
         """revenue AS (

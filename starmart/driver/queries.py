@@ -19,11 +19,12 @@ from starmart.operators.filters import first_match, keep_present, keep_where
 from starmart.operators.joins import existing, join_sliced
 from starmart.operators.keys import dense_key
 from starmart.operators.ranking import rank_descending
-from starmart.plans import reports, staging
-from starmart.plans.fact import FACT_COLUMNS, dropped_lines, fact_lines, line_counts
+from starmart.plans import contracts, reports, staging
+from starmart.plans.fact import FACT_COLUMNS, Dimensions, dropped_lines, fact_lines, line_counts
+from starmart.plans.fact import fact_orders as fact_orders_with_key
 from starmart.session import scratch_path
 from starmart.sources import raw_schemas, tables
-from starmart.sources.delimited import CORRUPT, scan_delimited, write_delimited
+from starmart.sources.delimited import CORRUPT, infer_schema, scan_delimited, write_delimited
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -84,6 +85,48 @@ def row_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(F.col("ProductID").alias("product_id"), F.col("UnitPrice").alias("unit_price"))
 
 
+@query
+def row_range_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fifty rows of the product file after its first hundred."""
+    folder = source_file(spark, sf_dir, "Products")
+    schema = raw_schemas.struct_of(raw_schemas.PRODUCTS)
+    read = scan_delimited(spark, f"{folder}/Products.csv", schema, skip_rows=100, max_rows=50)
+    return read.select(F.col("ProductID").alias("product_id"), F.col("UnitPrice").alias("unit_price"))
+
+
+@query
+def decimal_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines some of whose prices are written with a decimal comma, read by a scan that keeps and marks them."""
+    schema = raw_schemas.struct_of(raw_schemas.ORDER_DETAILS)
+    price = F.col("UnitPrice").cast("string")
+    raw = mapping.raw_order_details(spark, sf_dir).withColumn(
+        "UnitPrice", F.when(F.col("Quantity") > 40, F.translate(price, ".", ",")).otherwise(price)
+    )
+    path = scratch_path(spark, "comma-lines")
+    write_delimited(raw.select(*schema.names), path)
+    read = scan_delimited(spark, path, schema, strict=False)
+    return read.select(
+        F.col("OrderID").alias("order_id"),
+        F.col("ProductID").alias("product_id"),
+        F.col("UnitPrice").alias("unit_price"),
+        F.col(CORRUPT).isNotNull().alias("corrupt"),
+    )
+
+
+@query
+def inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types guessed for the lines' file, whose last row has a text for its quantity."""
+    raw = mapping.raw_order_details(spark, sf_dir).select(*raw_schemas.ORDER_DETAILS)
+    last = raw.agg(F.max("OrderID")).scalar()
+    texts = raw.withColumn("Quantity", F.when(F.col("OrderID") == last, "many").otherwise(F.col("Quantity").cast("string")))
+    path = scratch_path(spark, "inferred")
+    write_delimited(texts.sort("OrderID"), path)
+    found = infer_schema(spark, path)
+    return tables.inline_table(
+        spark, [(f.name, f.dataType.simpleString()) for f in found.fields], "column_name string, type string"
+    )
+
+
 @query
 def table_sink_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mapping.customers(spark, sf_dir)
@@ -126,6 +169,23 @@ def write_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status.select("product_id", "copy", "write_status", "write_error")
 
 
+@query
+def write_status_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of products that occur twice, equal in every column, one row is written."""
+    rows = mapping.copied_products(spark, sf_dir, same_key=True).drop("copy")
+    status = checks.write_status(rows, {}, unique=["product_id"], order="product_id")
+    return status.select("product_id", "write_status", "write_error")
+
+
+@query
+def refused_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load puts aside of products with repeated ids and missing names."""
+    rows = mapping.copied_products(spark, sf_dir, same_key=True)
+    rows = rows.withColumn("product_name", F.when(F.col("size") != 7, F.col("product_name")))
+    _, refused = contracts.divide(rows, contracts.STAGING["products"], order="copy")
+    return refused.select("product_id", "copy", "write_error")
+
+
 # Columns
 
 
@@ -288,8 +348,10 @@ def fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fact_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact key runs from 1 to the number of lines without a gap."""
-    return mart(spark, sf_dir).fact.agg(
+    """The dense fact key runs from 1 to the number of lines without a gap."""
+    built = mart(spark, sf_dir)
+    fact = fact_orders_with_key(built.tables["order_details"], built.tables["orders"], built.dims, dense_keys=True)
+    return fact.agg(
         F.count("*").alias("rows"),
         F.min("fact_id").alias("first_key"),
         F.max("fact_id").alias("last_key"),
@@ -321,6 +383,21 @@ def dropped_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dropped_lines(mapping.order_details(spark, sf_dir), _dated_orders(spark, sf_dir), dims)
 
 
+@query
+def dropped_line_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines by the reason to drop them, over orders and dimensions that each lack some rows."""
+    dims = dimensions(spark, sf_dir)[1]
+    fewer = Dimensions(
+        product=dims.product.filter("product_id % 11 <> 3"),
+        customer=dims.customer.filter("customer_id % 7 <> 2"),
+        employee=dims.employee.filter("employee_id % 5 <> 1"),
+        time=dims.time,
+        shipping=dims.shipping.filter("ship_via_id <> 3"),
+    )
+    orders = _dated_orders(spark, sf_dir).filter("order_id % 13 <> 4")
+    return dropped_lines(mapping.order_details(spark, sf_dir), orders, fewer)
+
+
 # Reports
 
 
@@ -339,8 +416,7 @@ def top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def employee_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     built = mart(spark, sf_dir)
-    staff = built.dims.employee
-    return reports.employee_performance(built.fact, staff, staff.count())
+    return reports.employee_performance(built.fact, built.dims.employee)
 
 
 @query

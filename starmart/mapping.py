@@ -38,7 +38,7 @@ def _ship_via() -> Column:
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     types = part.select(F.col("p_type").alias("category_name")).distinct()
-    return dense_key(types, ["category_name"], "category_id", part.count())
+    return dense_key(types, ["category_name"], "category_id")
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,25 +2,28 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.operators.joins import SLICE_ROWS, join_sliced
+
+
+def _place(df: DataFrame, compared: list[str], order: str) -> Column:
+    """What sorts the rows of a group: the order (NULL last), then the other columns."""
+    others = [c for c in df.columns if c not in compared and c != order]
+    return F.struct(F.col(order).isNull().alias("_no_order"), F.col(order), *others)
+
 
 def dedupe_first(df: DataFrame, compared: list[str], order: str) -> DataFrame:
-    """Of every group of rows equal on ``compared`` the first one by ``order``.
+    """Of every group of rows equal on ``compared`` the first one by ``order``; NULL comes last, ties go by content.
 
     An aggregation and not a window: each task reduces its copies to one row per group before the
     shuffle, so a group of any size ends as one row per task.
     """
-    carried = [c for c in df.columns if c not in compared]
-    if carried == [order]:
-        firsts = df.groupBy(*compared).agg(F.min(order).alias(order))
-        return firsts.select(*df.columns)
-    firsts = df.groupBy(*compared).agg(F.min_by(F.struct(*carried), F.col(order)).alias("_first"))
+    firsts = df.groupBy(*[F.col(c).alias(f"_by_{c}") for c in compared])
+    firsts = firsts.agg(F.min(_place(df, compared, order)).alias("_first"))
     return firsts.select(
-        *[F.col(f"_first.{c}").alias(c) if c in carried else F.col(c) for c in df.columns]
+        *[(F.col(f"_by_{c}") if c in compared else F.col(f"_first.{c}")).alias(c) for c in df.columns]
     )
 
 
@@ -30,25 +33,24 @@ def flag_duplicates(
     order: str,
     status: str = "duplicate_status",
     chosen: str | None = None,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Every row, marked ``unique``, ``chosen`` (first of its group) or ``duplicate``.
 
-    ``chosen`` names an optional column with the order value of the chosen row (NULL if unique).
-    Groups are reduced to one row each before the shuffle and only those of two and more rows are
-    joined back. Both sides of that join are shuffled, so adaptive execution can split a large group.
+    The first row is the one with the least ``order`` (NULL last); ties go by content, and of rows that are equal
+    in every column exactly one is chosen. ``chosen`` names an optional column with the order value of the chosen
+    row (NULL if unique). Equal rows are counted in their tasks before anything is shuffled; what is left of a large
+    group meets the group's first row in slices.
     """
-    groups = (
-        df.groupBy(*[F.col(c).alias(f"_{c}") for c in compared])
-        .agg(F.count("*").alias("_rows"), F.min(order).alias("_first"))
-        .filter("_rows > 1")
-    )
-    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(groups[f"_{c}"]) for c in compared])
-    mark = (
-        F.when(F.col("_first").isNull(), "unique")
-        .when(F.col(order) == F.col("_first"), "chosen")
-        .otherwise("duplicate")
-    )
+    same = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    same = same.select("*", F.struct(*compared).alias("_key"), _place(df, compared, order).alias("_place"))
+    groups = same.groupBy("_key").agg(F.sum("_copies").alias("_rows"), F.min("_place").alias("_first"))
+    joined = join_sliced(same, groups, ["_key"], slice_rows=slice_rows)
+    copy = F.posexplode(F.sequence(F.lit(1), F.col("_copies"))).alias("_nth", "_unused")
+    marked = joined.select("*", copy)
+    first = (F.col("_place") == F.col("_first")) & (F.col("_nth") == 0)
+    mark = F.when(F.col("_rows") == 1, "unique").when(first, "chosen").otherwise("duplicate")
     extra = [mark.alias(status)]
     if chosen:
-        extra.append(F.col("_first").alias(chosen))
-    return df.join(groups, same, "left").select(*df.columns, *extra)
+        extra.append(F.when(F.col("_rows") > 1, F.col(f"_first.{order}")).alias(chosen))
+    return marked.select(*df.columns, *extra)

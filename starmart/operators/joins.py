@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 HOT_PARTS = 10_000
 SLICE_ROWS = 1_000_000
 SLICE = "_slice"
+ROW = "_row"
 
 
 def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -30,18 +31,28 @@ def hot_keys(counts: DataFrame, keys: list[str], slice_rows: int = SLICE_ROWS) -
     )
 
 
+def with_row_id(df: DataFrame) -> DataFrame:
+    """Add ``_row``, a number that differs from row to row, by which ``cut`` deals the rows of hot keys.
+
+    To be added to a scan of written data, which reads its rows in the same order when a task is repeated.
+    """
+    return df.withColumn(ROW, F.monotonically_increasing_id())
+
+
 def cut(big: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
     """Add a slice number: 0 for most rows, spread over its slices for a hot key.
 
-    It depends on the row and its input partition only, so a repeated task cuts the same way. Rows
-    without a key match nothing in a join and are spread as well.
+    Rows with a ``_row`` are dealt by it, so that equal rows are spread as well, and lose it; others by their
+    values and their input partition. Either way a repeated task cuts the same way. Rows without a key match
+    nothing in a join and are spread as well.
     """
-    spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in big.columns])
+    columns = [c for c in big.columns if c != ROW]
+    by = [F.col(ROW)] if ROW in big.columns else [F.spark_partition_id(), *[F.col(c) for c in columns]]
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     slices = F.when(no_key, F.lit(HOT_PARTS)).otherwise(F.col("_slices"))
-    number = F.when(slices.isNull(), F.lit(0)).otherwise(F.pmod(spread, slices))
+    number = F.when(slices.isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(*by), slices))
     marked = big.join(F.broadcast(hot), keys, "left")
-    return marked.select(*big.columns, number.cast("int").alias(SLICE))
+    return marked.select(*columns, number.cast("int").alias(SLICE))
 
 
 def repeat(side: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:

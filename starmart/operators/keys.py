@@ -7,23 +7,14 @@ from pyspark.sql import functions as F
 
 from starmart.session import scratch_path
 
-# Up to this many rows, numbering in one task is cheaper than writing the rows out.
-ONE_TASK_ROWS = 200_000
-
 _POSITION_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the position in its low 33 bits
 
 
-def dense_key(
-    df: DataFrame, order_by: list[str | Column], name: str, max_rows: int | None = None
-) -> DataFrame:
+def dense_key(df: DataFrame, order_by: list[str | Column], name: str) -> DataFrame:
     """Put a key 1..n before the columns, in the stated order (which must have no ties).
 
-    ``max_rows`` is a proven bound on the number of rows. Without one, or above ``ONE_TASK_ROWS``,
-    the rows are range-sorted over the cluster; see ``number_rows``.
+    The rows are range-sorted over the cluster, whatever their number; see ``number_rows``.
     """
-    if max_rows is not None and max_rows <= ONE_TASK_ROWS:
-        position = F.row_number().over(Window.orderBy(*order_by)).cast("long")
-        return df.select(position.alias(name), *df.columns)
     return number_rows(df.sort(*order_by), name)
 
 

@@ -6,29 +6,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.functions.numbers import percent
-from starmart.operators.keys import ONE_TASK_ROWS, dense_key
+from starmart.operators.keys import dense_key
 
 
 def share_of(df: DataFrame, value: str, within: list[str], name: str, digits: int) -> DataFrame:
     """Add the percentage that the value is of the total of its group.
 
-    For aggregated frames: a group then holds one row per remaining grouping value.
+    For aggregated frames: a group then holds one row per remaining grouping value, such as one row per product
+    category, and all rows of a group meet in one task.
     """
     total = F.sum(value).over(Window.partitionBy(*within))
     return df.withColumn(name, percent(F.col(value), total, digits))
 
 
-def rank_descending(
-    df: DataFrame, value: str, key: str, name: str, max_rows: int | None = None
-) -> DataFrame:
+def rank_descending(df: DataFrame, value: str, key: str, name: str) -> DataFrame:
     """Add the rank by descending value over the whole frame; equal values share a rank, with gaps.
 
-    ``key`` must be unique. With a proven bound of at most ``ONE_TASK_ROWS`` rows this is one window;
-    else the rows are numbered over the cluster and each value takes its lowest number.
+    ``key`` must be unique. The rows are numbered over the cluster and each value takes its lowest number.
     """
-    if max_rows is not None and max_rows <= ONE_TASK_ROWS:
-        rank = F.rank().over(Window.orderBy(F.col(value).desc_nulls_first())).cast("long")
-        return df.withColumn(name, rank)
     numbered = dense_key(df, [F.col(value).desc_nulls_first(), F.col(key)], "_number")
     ranks = numbered.groupBy(F.col(value).alias("_value")).agg(F.min("_number").alias(name))
     ranked = numbered.join(ranks, F.col(value).eqNullSafe(F.col("_value")))

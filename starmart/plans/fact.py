@@ -18,9 +18,11 @@ from starmart.operators.joins import (
     key_counts,
     lookup,
     repeat,
+    with_row_id,
 )
 from starmart.operators.keys import number_rows, sparse_key
 
+# The names of the fact's columns.
 FACT_COLUMNS = [
     "product_key",
     "customer_key",
@@ -53,10 +55,10 @@ def line_counts(order_details: DataFrame) -> DataFrame:
 
 
 def _with_date_and_shipper(orders: DataFrame, dims: Dimensions, how: str) -> DataFrame:
-    # Both sides are small whatever the data: one row per calendar day, one row per shipper.
+    # Only the list of shippers is known to be small; the calendar has a row for each day with an order.
     time = dims.time.select(F.col("date").alias("order_date"), F.col("time_key").alias("order_time_key"))
     shipping = dims.shipping.select(F.col("ship_via_id").alias("ship_via"), "shipping_key")
-    dated = orders.join(F.broadcast(time), "order_date", how)
+    dated = lookup(orders, time, "order_date", how)
     return dated.join(F.broadcast(shipping), "ship_via", how)
 
 
@@ -103,7 +105,7 @@ def fact_lines(
     """
     key = ["order_id"]
     headers = orders.select(*HEADER_COLUMNS, "freight", *_employee_column(orders))
-    lines = order_details.select(*LINE_COLUMNS, *extra, *_employee_column(order_details))
+    lines = with_row_id(order_details.select(*LINE_COLUMNS, *extra, *_employee_column(order_details)))
     counts = key_counts(lines, key)
     hot = hot_keys(counts, key, slice_rows)
     share = freight_share(F.col("freight"), F.col("_rows"))
@@ -120,11 +122,12 @@ def fact_lines(
 
 
 def fact_orders(
-    order_details: DataFrame, orders: DataFrame, dims: Dimensions, gaps: bool = False
+    order_details: DataFrame, orders: DataFrame, dims: Dimensions, dense_keys: bool = False
 ) -> DataFrame:
-    """The fact with its key. ``gaps`` allows holes in the key and saves the pass that counts rows."""
+    """The fact with its key, which is unique. ``dense_keys`` has it run from 1 without a hole, which takes writing
+    the fact once more."""
     lines = fact_lines(order_details, orders, dims)
-    return sparse_key(lines, "fact_id") if gaps else number_rows(lines, "fact_id")
+    return number_rows(lines, "fact_id") if dense_keys else sparse_key(lines, "fact_id")
 
 
 def line_fates(
@@ -133,7 +136,7 @@ def line_fates(
     """Every order line with the first reason why the fact would not hold it (NULL if it would)."""
     headers = orders.select(*HEADER_COLUMNS, *_employee_column(orders))
     headers = _keyed_headers(headers, dims, "left").withColumn("_has_order", F.lit(True))
-    keyed = _keyed_lines(order_details, dims, "left")
+    keyed = _keyed_lines(with_row_id(order_details), dims, "left")
     key = ["order_id"]
     hot = hot_keys(key_counts(order_details, key), key, slice_rows)
     keyed = join_cut(cut(keyed, hot, key), repeat(headers, hot, key), key, "left")
@@ -151,7 +154,8 @@ def line_fates(
 
 def dropped_lines(order_details: DataFrame, orders: DataFrame, dims: Dimensions) -> DataFrame:
     """Number of lines per reason, with the kept ones under ``kept``."""
-    fates = line_fates(order_details, orders, dims)
+    ids = order_details.select("order_id", "product_id", *_employee_column(order_details))
+    fates = line_fates(ids, orders, dims)
     return fates.groupBy(F.coalesce("reason", F.lit("kept")).alias("reason")).agg(
         F.count("*").alias("lines")
     )

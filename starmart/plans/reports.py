@@ -19,7 +19,8 @@ TOP_CUSTOMERS = 10
 
 
 def _calendar(dim_time: DataFrame, *columns: str) -> DataFrame:
-    return F.broadcast(dim_time.select(F.col("time_key").alias("order_time_key"), *columns))
+    """The calendar; Spark broadcasts the written table when its size allows."""
+    return dim_time.select(F.col("time_key").alias("order_time_key"), *columns)
 
 
 def _per_order(fact: DataFrame, key: str, *measures: str) -> DataFrame:
@@ -46,12 +47,12 @@ def top_customers(fact: DataFrame, dim_customer: DataFrame, k: int = TOP_CUSTOME
         .groupBy("customer_key")
         .agg(F.count("*").alias("order_count"), F.sum("total_amount").alias("total_revenue"))
     )
+    # The first k before their names are looked up, so that only k customers are: the fact holds no customer
+    # that the dimension lacks, because the fact load looks every one up there.
+    order = [F.desc_nulls_first("total_revenue"), F.col("customer_key")]
+    first = top(per_customer, order, k)
     names = dim_customer.select("customer_key", "company_name", "country")
-    ranked = top(
-        lookup(per_customer, names, "customer_key"),
-        [F.desc_nulls_first("total_revenue"), F.col("customer_key")],
-        k,
-    )
+    ranked = names.join(F.broadcast(first), "customer_key").orderBy(*order)
     return ranked.select(
         "company_name",
         "country",
@@ -61,13 +62,8 @@ def top_customers(fact: DataFrame, dim_customer: DataFrame, k: int = TOP_CUSTOME
     )
 
 
-def employee_performance(
-    fact: DataFrame, dim_employee: DataFrame, employees: int | None = None
-) -> DataFrame:
-    """Revenue, orders and revenue rank per employee, with the manager's name.
-
-    ``employees`` is a proven bound on the rows of the dimension, see ``rank_descending``.
-    """
+def employee_performance(fact: DataFrame, dim_employee: DataFrame) -> DataFrame:
+    """Revenue, orders and revenue rank per employee, with the manager's name."""
     per_employee = (
         _per_order(fact, "employee_key", "total_amount")
         .groupBy("employee_key")
@@ -81,7 +77,7 @@ def employee_performance(
         "order_count",
         "total_revenue",
     )
-    ranked = rank_descending(named, "total_revenue", "employee_key", "revenue_rank", employees)
+    ranked = rank_descending(named, "total_revenue", "employee_key", "revenue_rank")
     return ranked.orderBy("revenue_rank", "employee_key").drop("employee_key")
 
 

@@ -1,4 +1,8 @@
-"""Building the warehouse: source files to staging, staging to star schema, star schema to reports."""
+"""Building the warehouse: source files to staging, staging to star schema, star schema to reports.
+
+A load writes new versions of its tables, checks them against their contracts and only then points the names at
+them, all at the end: a load that fails, or is refused, leaves every table as it was.
+"""
 
 from __future__ import annotations
 
@@ -7,30 +11,90 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.plans import dimensions, reports, staging
+from starmart.plans import contracts, dimensions, reports, staging
 from starmart.plans.fact import Dimensions, fact_orders
-from starmart.sources.tables import create_namespace, replace_table
+from starmart.session import check_warehouse_place, remove_paths, scratch_paths
+from starmart.sources.tables import Version, create_namespace, publish, write_version
 
+# What to do with rows that break a contract.
+FAIL, DIVERT = "fail", "divert"
 
-def _replace_all(
-    namespace: str, frames: dict[str, Callable[[], DataFrame]]
-) -> dict[str, DataFrame]:
-    """Refresh tables that do not depend on each other, so that one's last tasks overlap the next."""
 
-    def refresh(name: str) -> DataFrame:
-        return replace_table(frames[name](), f"{namespace}.{name}")
+def _together(jobs: dict[str, Callable[[], object]]) -> dict:
+    """Run jobs that do not depend on each other, so that one's last tasks overlap the next."""
+    with ThreadPoolExecutor(max(1, len(jobs))) as pool:
+        return dict(zip(jobs, pool.map(lambda job: job(), jobs.values())))
+
+
+def write_staging(
+    spark: SparkSession, folder: str, namespace: str, refused: str = FAIL, check_lines: bool = False
+) -> list[Version]:
+    """Clean the six source files and write new versions of the staging tables.
+
+    Rows that break a contract fail the load, or, if ``refused`` is ``divert``, go to a table
+    ``<name>_refused`` with what is wrong with them. ``check_lines`` also checks the key of the order lines.
+    """
+
+    def write(table: str, df: DataFrame) -> list[Version]:
+        contract = contracts.STAGING[table]
+        if refused == DIVERT:
+            good, bad = contracts.divide(df, contract)
+            return [write_version(good, f"{namespace}.{table}"), write_version(bad, f"{namespace}.{table}_refused")]
+        version = write_version(df, f"{namespace}.{table}")
+        contracts.require(version.rows, contract, version.name, check_lines or None)
+        return [version]
+
+    frames = staging.staging_tables(spark, folder)
+    written = _together({name: lambda name=name, df=df: write(name, df) for name, df in frames.items()})
+    return [version for versions in written.values() for version in versions]
+
+
+def write_dimensions(spark: SparkSession, tables: dict[str, DataFrame], namespace: str) -> list[Version]:
+    """Write new versions of the dimension tables; a repeated or missing key fails the load."""
+    builders = {
+        "dim_product": lambda: dimensions.dim_product(tables["products"], tables["categories"]),
+        "dim_customer": lambda: dimensions.dim_customer(tables["customers"]),
+        "dim_employee": lambda: dimensions.dim_employee(tables["employees"]),
+        "dim_time": lambda: dimensions.dim_time(tables["orders"]),
+        "dim_shipping": lambda: dimensions.dim_shipping(spark),
+    }
+
+    def write(name: str) -> Version:
+        version = write_version(builders[name](), f"{namespace}.{name}")
+        contracts.require(version.rows, contracts.DATAMART[name], version.name)
+        return version
 
-    with ThreadPoolExecutor(len(frames)) as pool:
-        return dict(zip(frames, pool.map(refresh, frames)))
+    return list(_together({name: lambda name=name: write(name) for name in builders}).values())
+
+
+def write_fact(
+    tables: dict[str, DataFrame], dims: Dimensions, namespace: str, dense_keys: bool = False
+) -> Version:
+    """Write a new version of the fact table; a repeated order id fails the load."""
+    contracts.require(tables["orders"], contracts.STAGING["orders"], "orders")
+    fact = fact_orders(tables["order_details"], tables["orders"], dims, dense_keys)
+    return write_version(fact, f"{namespace}.fact_orders")
+
+
+def _dimensions(frames: dict[str, DataFrame]) -> Dimensions:
+    return Dimensions(**{name.rpartition(".")[2].removeprefix("dim_"): df for name, df in frames.items()})
+
+
+def _by_table(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {name.rpartition(".")[2]: df for name, df in frames.items()}
 
 
 def load_staging(
-    spark: SparkSession, folder: str, namespace: str = "staging", location: str | None = None
+    spark: SparkSession,
+    folder: str,
+    namespace: str = "staging",
+    location: str | None = None,
+    refused: str = FAIL,
+    check_lines: bool = False,
 ) -> dict[str, DataFrame]:
-    """Clean the six source files and refresh the staging tables."""
+    """Refresh the staging tables from the six source files."""
     create_namespace(spark, namespace, location)
-    frames = staging.staging_tables(spark, folder)
-    return _replace_all(namespace, {name: lambda df=df: df for name, df in frames.items()})
+    return _by_table(publish(write_staging(spark, folder, namespace, refused, check_lines))[0])
 
 
 def load_dimensions(
@@ -41,28 +105,15 @@ def load_dimensions(
 ) -> Dimensions:
     """Refresh the dimension tables. They are written before the fact looks their keys up."""
     create_namespace(spark, namespace, location)
-    products, customers, employees = tables["products"], tables["customers"], tables["employees"]
-    written = _replace_all(
-        namespace,
-        {
-            "dim_product": lambda: dimensions.dim_product(
-                products, tables["categories"], products.count()
-            ),
-            "dim_customer": lambda: dimensions.dim_customer(customers, customers.count()),
-            "dim_employee": lambda: dimensions.dim_employee(employees, employees.count()),
-            "dim_time": lambda: dimensions.dim_time(tables["orders"]),
-            "dim_shipping": lambda: dimensions.dim_shipping(spark),
-        },
-    )
-    return Dimensions(**{name.removeprefix("dim_"): df for name, df in written.items()})
+    return _dimensions(publish(write_dimensions(spark, tables, namespace))[0])
 
 
 def load_fact(
-    tables: dict[str, DataFrame], dims: Dimensions, namespace: str = "datamart", gaps: bool = False
+    tables: dict[str, DataFrame], dims: Dimensions, namespace: str = "datamart", dense_keys: bool = False
 ) -> DataFrame:
     """Refresh the fact table."""
-    fact = fact_orders(tables["order_details"], tables["orders"], dims, gaps)
-    return replace_table(fact, f"{namespace}.fact_orders")
+    version = write_fact(tables, dims, namespace, dense_keys)
+    return publish([version])[0][version.name]
 
 
 REPORTS: dict[str, Callable[[DataFrame, Dimensions], DataFrame]] = {
@@ -70,23 +121,39 @@ REPORTS: dict[str, Callable[[DataFrame, Dimensions], DataFrame]] = {
         fact, dims.product, dims.time
     ),
     "top_customers": lambda fact, dims: reports.top_customers(fact, dims.customer),
-    "employee_performance": lambda fact, dims: reports.employee_performance(
-        fact, dims.employee, dims.employee.count()
-    ),
+    "employee_performance": lambda fact, dims: reports.employee_performance(fact, dims.employee),
     "shipping_analysis": lambda fact, dims: reports.shipping_analysis(fact, dims.shipping),
     "weekend_patterns": lambda fact, dims: reports.weekend_patterns(fact, dims.customer, dims.time),
 }
 
 
 def build_warehouse(
-    spark: SparkSession, folder: str, location: str | None = None
+    spark: SparkSession,
+    folder: str,
+    location: str | None = None,
+    *,
+    refused: str = FAIL,
+    check_lines: bool = False,
+    dense_keys: bool = False,
+    remove_old: bool = False,
 ) -> dict[str, DataFrame]:
     """Everything from the source files to the report frames.
 
-    Afterwards ``staging.*`` and ``datamart.*`` can be queried by name with ``spark.sql``.
+    Afterwards ``staging.*`` and ``datamart.*`` can be queried by name with ``spark.sql``. All names are moved to
+    their new versions at the very end. ``remove_old`` then deletes the versions that were replaced and the scratch
+    copies that this load made; only for warehouses that nobody reads at that moment.
     """
+    check_warehouse_place(spark, location)
     base = location.rstrip("/") if location else None
-    tables = load_staging(spark, folder, location=base and f"{base}/staging")
-    dims = load_dimensions(spark, tables, location=base and f"{base}/datamart")
-    fact = load_fact(tables, dims)
-    return {name: report(fact, dims) for name, report in REPORTS.items()}
+    before = len(scratch_paths(spark))
+    create_namespace(spark, "staging", base and f"{base}/staging")
+    create_namespace(spark, "datamart", base and f"{base}/datamart")
+    staged = write_staging(spark, folder, "staging", refused, check_lines)
+    tables = _by_table({v.name: v.rows for v in staged})
+    dims = write_dimensions(spark, tables, "datamart")
+    fact = write_fact(tables, _dimensions({v.name: v.rows for v in dims}), "datamart", dense_keys)
+    published, old = publish([*staged, *dims, fact])
+    if remove_old:
+        remove_paths(spark, [*old, *scratch_paths(spark)[before:]])
+    built = _dimensions({v.name: published[v.name] for v in dims})
+    return {name: report(published[fact.name], built) for name, report in REPORTS.items()}

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
+_MADE: dict[str, list[str]] = {}
 
 
 def build_session(
@@ -33,6 +34,12 @@ def build_session(
     return builder.getOrCreate()
 
 
+def _is_local(spark: SparkSession) -> bool:
+    """Whether the session says that it is local; one that says nothing may belong to a remote cluster."""
+    master = spark.conf.get("spark.master", None)
+    return bool(master) and master.startswith("local") and not master.startswith("local-cluster")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -41,7 +48,7 @@ def scratch_root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not _is_local(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     app = spark.conf.get("spark.app.id", "local")
     if app not in _LOCAL_SCRATCH:
@@ -51,4 +58,28 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other job uses."""
-    return f"{scratch_root(spark)}/starmart/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/starmart/{label}-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.conf.get("spark.app.id", "local"), []).append(path)
+    return path
+
+
+def scratch_paths(spark: SparkSession) -> list[str]:
+    """The scratch paths that this application was given so far."""
+    return list(_MADE.get(spark.conf.get("spark.app.id", "local"), []))
+
+
+def remove_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders, such as scratch copies or old versions of tables that nobody reads any more."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+
+
+def check_warehouse_place(spark: SparkSession, location: str | None) -> None:
+    """Refuse to put tables into a folder of one machine of a cluster."""
+    if location or _is_local(spark):
+        return
+    default = spark.conf.get("spark.sql.warehouse.dir", "")
+    if not default or default.startswith(("file:", "/")) or ":" not in default:
+        raise RuntimeError("give a location for the tables, or set spark.sql.warehouse.dir to a shared folder")

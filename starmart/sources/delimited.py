@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.functions.text import strip, to_null
-from starmart.operators.ranking import row_range
+from starmart.functions.text import WHITE_SPACE, strip, to_null
 from starmart.sources.raw_schemas import struct_of
 
-# The dialect of the source files and the rows looked at when types are guessed.
+# The dialect of the source files.
 DIALECT = {
     "sep": ";",
     "header": "true",
@@ -23,7 +24,10 @@ DIALECT = {
     "nullValue": "",
     "emptyValue": "",
 }
-INFERENCE_ROWS = 10_000
+
+# A number that is read as a floating point number; other texts that a cast would take, such as 1d, are text.
+FLOATING = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+_NUMBERS = (T.IntegralType, T.DecimalType, T.FractionalType)
 
 CORRUPT = "_corrupt"
 SOURCE = "_source"
@@ -41,32 +45,75 @@ def scan_delimited(
 ) -> DataFrame:
     """Rows of one or more files with a declared schema.
 
-    Text is unquoted and trimmed, and empty text is NULL. A row of the wrong length, a value that does
-    not fit its type (in a column that is read) or a header that differs from the schema fails a
-    ``strict`` scan. Otherwise such a row stays, with its raw line in ``_corrupt``. ``line_breaks_in_quotes`` lets a quoted value span
-    lines; a file is then one task, so it is off unless asked for (a broken line fails a strict scan).
-    ``source_order`` adds ``_source``, which sorts rows as they lie in the files.
+    Text is unquoted and trimmed, and empty text is NULL. A row of the wrong length, a blank line, a value that
+    does not fit its type (in a column that is read) or a header that differs from the schema fails a ``strict``
+    scan. Otherwise such a row stays, with its raw line in ``_corrupt`` (or, if only a number does not fit, its
+    values joined by the separator); a lenient scan has no row for a blank line. Numbers have a decimal point and
+    no thousands sign: ``14,00`` and ``1,234.5`` do not fit. ``line_breaks_in_quotes`` lets a quoted value span
+    lines; a file is then one task, and its blank lines are not looked for, so it is off unless asked for (a
+    broken line fails a strict scan). ``source_order`` adds ``_source``, which sorts rows as they lie in the files.
+    ``skip_rows`` and ``max_rows`` take a range of the rows as they lie in the files.
     """
     reader = spark.read.options(**DIALECT).option("enforceSchema", "false")
     # Without pruning a row of the wrong length is noticed whichever columns a query needs.
     reader = reader.option("columnPruning", "false").option("multiLine", line_breaks_in_quotes)
+    # Numbers are read as text, because the reader drops thousands signs wherever they stand.
+    as_text = T.StructType([T.StructField(f.name, _read_as(f.dataType)) for f in schema.fields])
     if strict:
-        df = reader.option("mode", "FAILFAST").schema(schema).csv(path)
+        df = reader.option("mode", "FAILFAST").schema(as_text).csv(path)
     else:
-        wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        wide = T.StructType([*as_text.fields, T.StructField(CORRUPT, T.StringType())])
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
         df = reader.schema(wide).csv(path)
-    ordered = source_order or skip_rows or max_rows is not None
-    if ordered:
+    ranged = skip_rows or max_rows is not None
+    if source_order or ranged:
         df = with_source_order(df)
-    df = _trimmed(df, schema)
-    if skip_rows or max_rows is not None:
-        df = row_range(df, [SOURCE], skip_rows, max_rows)
+    df = _typed(_trimmed(df, as_text), schema, strict)
+    if ranged:
+        df = in_source_range(df, skip_rows, max_rows)
         if not source_order:
             df = df.drop(SOURCE)
+    if strict and not line_breaks_in_quotes:
+        df = df.unionByName(_no_blank_lines(spark, path, df.schema))
     return df
 
 
+def _read_as(kind: T.DataType) -> T.DataType:
+    return T.StringType() if isinstance(kind, _NUMBERS) else kind
+
+
+def as_number(text: Column, kind: T.DataType) -> Column:
+    """The number that a text writes, or NULL."""
+    number = text.try_cast(kind.simpleString())
+    return F.when(text.rlike(FLOATING), number) if isinstance(kind, (T.DoubleType, T.FloatType)) else number
+
+
+def _typed(df: DataFrame, schema: T.StructType, strict: bool) -> DataFrame:
+    """Number columns from their text. A text that is no number fails or marks the row."""
+    numbers = {f.name: as_number(F.col(f.name), f.dataType) for f in schema.fields if isinstance(f.dataType, _NUMBERS)}
+    misfits = {name: F.col(name).isNotNull() & number.isNull() for name, number in numbers.items()}
+    if strict:
+        # An error and not a filter: only a column that is read can fail.
+        return df.withColumns(
+            {
+                name: F.when(
+                    misfits[name], F.raise_error(F.concat(F.lit(f"no number in {name}: "), F.col(name))).cast(schema[name].dataType)
+                ).otherwise(number)
+                for name, number in numbers.items()
+            }
+        )
+    line = F.concat_ws(DIALECT["sep"], *[F.coalesce(F.col(n).cast("string"), F.lit("")) for n in schema.names])
+    bad = reduce(lambda a, b: a | b, misfits.values(), F.lit(False))
+    return df.withColumns(numbers | {CORRUPT: F.coalesce(F.col(CORRUPT), F.when(bad, line))})
+
+
+def _no_blank_lines(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """No rows; reading it fails if a line of the files is blank (the reader skips such lines silently)."""
+    blank = F.btrim(F.col("value"), F.lit(WHITE_SPACE)) == ""
+    checked = spark.read.text(path).filter(F.when(blank, F.raise_error(F.lit("blank line")).cast("boolean")).otherwise(False))
+    return checked.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def with_source_order(df: DataFrame) -> DataFrame:
     """Add ``_source`` = (file, offset of the split, row counter) to a fresh file scan.
 
@@ -82,28 +129,54 @@ def with_source_order(df: DataFrame) -> DataFrame:
     )
 
 
+def in_source_range(df: DataFrame, skip: int = 0, rows: int | None = None) -> DataFrame:
+    """Rows of a scan with ``_source`` after the first ``skip``, at most ``rows`` of them, as they lie in the files.
+
+    Nothing is sorted: rows are counted per split, and a row's number is its place in its split plus the rows of
+    the splits before, a table with one row per split. For a fresh scan, which numbers its rows alike each time.
+    """
+    split = [F.col(f"{SOURCE}.file").alias("_file"), F.col(f"{SOURCE}.offset").alias("_offset")]
+    row = F.col(f"{SOURCE}.row")
+    earlier = Window.orderBy("_file", "_offset").rowsBetween(Window.unboundedPreceding, -1)
+    splits = (
+        df.groupBy(*split)
+        .agg(F.count("*").alias("_rows"), F.min(row).alias("_first"))
+        .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    )
+    number = F.col("_before") + row - F.col("_first")
+    wanted = number >= skip
+    if rows is not None:
+        wanted = wanted & (number < skip + rows)
+    return df.select("*", *split).join(F.broadcast(splits), ["_file", "_offset"]).filter(wanted).select(*df.columns)
+
+
 def _trimmed(df: DataFrame, schema: T.StructType) -> DataFrame:
     texts = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
     return df.withColumns({name: to_null(strip(F.col(name))) for name in texts})
 
 
-def infer_schema(spark: SparkSession, path: str, rows: int = INFERENCE_ROWS) -> T.StructType:
-    """Column types guessed from the first rows: int, long, double, else text.
+def infer_schema(spark: SparkSession, path: str, rows: int | None = None) -> T.StructType:
+    """Column types guessed from all rows: int, long, double, else text; a column without any value is text.
 
-    For looking at unknown files; the jobs declare their schemas.
+    For looking at unknown files; the jobs declare their schemas. ``rows`` looks at the first rows only: a later
+    row may then not fit the schema. All columns are judged in one pass.
     """
-    head = spark.read.options(**DIALECT).csv(path)
-    first = _trimmed(head, head.schema).limit(rows)
+    whole = spark.read.options(**DIALECT).csv(path)
+    looked_at = _trimmed(whole, whole.schema)
+    looked_at = looked_at if rows is None else looked_at.limit(rows)
+    kinds = {"int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType()}
+    names = looked_at.columns
     fits = [
-        F.every(F.col(name).try_cast(kind).isNotNull() | F.col(name).isNull()).alias(f"{i}_{kind}")
-        for i, name in enumerate(first.columns)
-        for kind in ("int", "long", "double")
+        F.every(as_number(F.col(name), type_).isNotNull() | F.col(name).isNull()).alias(f"{i}_{kind}")
+        for i, name in enumerate(names)
+        for kind, type_ in kinds.items()
     ]
-    seen = first.agg(*fits).first()
+    some = [F.count(name).alias(f"{i}_values") for i, name in enumerate(names)]
+    seen = looked_at.agg(*fits, *some).first()
     return struct_of(
         {
-            name: next((k for k in ("int", "long", "double") if seen[f"{i}_{k}"]), "string")
-            for i, name in enumerate(first.columns)
+            name: next((k for k in kinds if seen[f"{i}_values"] and seen[f"{i}_{k}"]), "string")
+            for i, name in enumerate(names)
         }
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -24,17 +25,63 @@ def _new_version(spark: SparkSession, name: str) -> str:
     return f"{base}/{table}-{uuid.uuid4().hex}"
 
 
+@dataclass(frozen=True)
+class Version:
+    """A written version of a table that no name points at yet."""
+
+    name: str
+    path: str
+    rows: DataFrame
+
+
+def write_version(df: DataFrame, name: str) -> Version:
+    """Write the rows as a new version of a table; the table stays as it is."""
+    path = _new_version(df.sparkSession, name)
+    df.write.parquet(path)
+    return Version(name, path, df.sparkSession.read.schema(df.schema).parquet(path))
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
+    return described.first()["data_type"]
+
+
+def publish(versions: list[Version]) -> tuple[dict[str, DataFrame], list[str]]:
+    """Point the tables' names at new versions. Returns the tables by name and the places of the old versions.
+
+    A table that keeps its columns is moved by one statement, so a reader finds the old version or the new one at
+    every moment. If its columns change, the new version gets a name of its own first and then takes the table's
+    name; between these two statements the name is missing. Several tables are moved one right after the other,
+    when all of them are written. Old versions stay for readers that have begun.
+    """
+    tables, old = {}, []
+    for version in versions:
+        spark, name = version.rows.sparkSession, version.name
+        columns = [(f.name, f.dataType) for f in version.rows.schema.fields]
+        exists = spark.catalog.tableExists(name)
+        if exists:
+            old.append(_location(spark, name))
+        if exists and [(f.name, f.dataType) for f in spark.table(name).schema.fields] == columns:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{version.path}'")
+            spark.catalog.refreshTable(name)
+        elif exists:
+            own = f"{name}_{uuid.uuid4().hex[:8]}"
+            spark.catalog.createTable(own, path=version.path, source="parquet", schema=version.rows.schema)
+            spark.sql(f"DROP TABLE {name}")
+            spark.sql(f"ALTER TABLE {own} RENAME TO {name}")
+        else:
+            spark.catalog.createTable(name, path=version.path, source="parquet", schema=version.rows.schema)
+        tables[name] = spark.table(name)
+    return tables, old
+
+
 def replace_table(df: DataFrame, name: str) -> DataFrame:
-    """Full refresh: write a new version of the table, then point the name at it.
+    """Full refresh: write a new version of the table, then ``publish`` it.
 
-    The old version serves readers until the new one is complete, so the table may be refreshed
-    from itself and a failed refresh changes nothing.
+    The old version serves readers until the new one is complete, so the table may be refreshed from itself, and
+    a write that fails changes nothing.
     """
-    spark = df.sparkSession
-    path = _new_version(spark, name)
-    df.write.parquet(path)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    return spark.catalog.createTable(name, path=path, source="parquet", schema=df.schema)
+    return publish([write_version(df, name)])[0][name]
 
 
 def create_table(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from starmart.operators.joins import existing, hot_keys, join_sliced, key_counts
+from starmart.operators.joins import SLICE, cut, existing, hot_keys, join_cut, join_sliced, key_counts, repeat, with_row_id
 
 
 def frames(spark):
@@ -57,3 +57,14 @@ def test_existing(spark):
     kept = existing(big, side, "k")
     assert kept.columns == big.columns
     assert kept.count() == sum(1 for i in range(900) if i % 5 and (i % 3 == 0 or i % 40 < 30))
+
+
+def test_equal_rows_of_a_hot_key_use_all_slices(spark, rows):
+    big = spark.range(1000, numPartitions=4).select(F.lit(1).alias("k"), F.lit("same").alias("v"))
+    side = spark.createDataFrame([(1, "x")], "k int, s string")
+    hot = hot_keys(key_counts(big, ["k"]), ["k"], slice_rows=10)
+    dealt = cut(with_row_id(big), hot, ["k"])
+    assert dealt.columns == ["k", "v", SLICE]
+    sizes = [r["count"] for r in dealt.groupBy(SLICE).count().collect()]
+    assert len(sizes) == 100 and max(sizes) < 40
+    assert rows(join_cut(dealt, repeat(side, hot, ["k"]), ["k"])) == rows(big.join(side, "k"))

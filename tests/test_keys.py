@@ -20,12 +20,6 @@ def test_dense_keys_do_not_depend_on_the_partitions(spark, partitions, size):
     assert {r.v: r.k for r in keyed} == {v: i for i, v in enumerate(sorted(values), 1)}
 
 
-def test_both_paths_agree(spark, rows):
-    df = spark.createDataFrame([(i % 7, i) for i in range(500)], "a int, b int").repartition(9)
-    order = [F.desc("a"), "b"]
-    assert rows(dense_key(df, order, "k")) == rows(dense_key(df, order, "k", max_rows=500))
-
-
 def test_one_value_holds_a_third_of_the_first_sort_column(spark):
     data = [(0 if i % 3 == 0 else i, i) for i in range(3000)]
     df = spark.createDataFrame(data, "a int, b int").repartition(20)
@@ -46,11 +40,10 @@ def test_numbered_rows_read_the_same_twice(spark, rows):
     assert rows(numbered) == rows(numbered)
 
 
-@pytest.mark.parametrize("bound", [None, 300])
-def test_rank_has_gaps_and_ties(spark, bound):
+def test_rank_has_gaps_and_ties(spark):
     values = [random.Random(2).randint(0, 20) for _ in range(300)]
     df = spark.createDataFrame(list(enumerate(values)), "id int, v int").repartition(7)
-    ranked = rank_descending(df, "v", "id", "r", bound).collect()
+    ranked = rank_descending(df, "v", "id", "r").collect()
     assert {x.id: x.r for x in ranked} == {
         i: 1 + sum(w > v for w in values) for i, v in enumerate(values)
     }

@@ -90,13 +90,36 @@ def test_source_order_and_row_range(spark, tmp_path):
 
 
 def test_inferred_types(spark, tmp_path):
-    path = write(tmp_path, "a;b;c;d;e", "1;1;1.5;x;", "2;5000000000;2;1;", ";;;;")
+    path = write(tmp_path, "a;b;c;d;e;f;g", "1;1;1.5;x;;1d;1", "2;5000000000;2e3;1;;2;NaN", ";;;;;;")
     assert [f.dataType for f in infer_schema(spark, path).fields] == [
-        T.IntegerType(), T.LongType(), T.DoubleType(), T.StringType(), T.IntegerType(),
+        T.IntegerType(), T.LongType(), T.DoubleType(), T.StringType(), T.StringType(), T.StringType(), T.StringType(),
     ]
-    late = write(tmp_path, "a", *["1"] * 50, "x", name="g.csv")
-    assert infer_schema(spark, late, rows=50).fields[0].dataType == T.IntegerType()
+    late = write(tmp_path, "a", *["1"] * 20_000, "x", name="g.csv")
     assert infer_schema(spark, late).fields[0].dataType == T.StringType()
+    assert infer_schema(spark, late, rows=50).fields[0].dataType == T.IntegerType()
+
+
+@pytest.mark.parametrize("text", ["14,00", "1,5", "1,234.5", "1.5x", "--1", "many"])
+def test_a_number_with_a_comma_is_no_number(spark, tmp_path, text):
+    path = write(tmp_path, "Id;Name;Price", "1;good;1.5", f"2;bad;{text}")
+    with pytest.raises(FAILURE):
+        scan_delimited(spark, path, SCHEMA).collect()
+    assert [r.Id for r in scan_delimited(spark, path, SCHEMA).select("Id").orderBy("Id").collect()] == [1, 2]
+    read = {r.Id: r for r in scan_delimited(spark, path, SCHEMA, strict=False).collect()}
+    assert read[1][CORRUPT] is None and read[2][CORRUPT] == f"2;bad;{text}" and read[2].Price is None
+
+
+@pytest.mark.parametrize("text, value", [("+1.5", 1.5), ("-2", -2.0), (" 3.25 ", 3.25), ("1e2", 100.0), (".5", 0.5)])
+def test_numbers(spark, tmp_path, text, value):
+    path = write(tmp_path, "Id;Name;Price", f"1;x;{text}")
+    assert float(scan_delimited(spark, path, SCHEMA).first().Price) == value
+
+
+def test_a_blank_line_fails_a_strict_scan(spark, tmp_path):
+    path = write(tmp_path, "Id;Name;Price", "1;a;1", "", "2;b;2")
+    with pytest.raises(FAILURE):
+        scan_delimited(spark, path, SCHEMA).count()
+    assert scan_delimited(spark, path, SCHEMA, strict=False).count() == 2
 
 
 def test_written_file_reads_back(spark, rows):
@@ -130,6 +153,31 @@ def test_failed_refresh_leaves_the_table(spark, rows):
     assert rows(tables.scan_table(spark, name)) == [(0,), (1,), (2,)]
 
 
+def test_a_table_of_the_same_columns_is_moved_at_once(spark, rows):
+    name = f"{new_namespace(spark, 'test')}.t"
+    tables.replace_table(spark.range(3), name)
+    before = tables.scan_table(spark, name)
+    version = tables.write_version(spark.range(5), name)
+    assert rows(tables.scan_table(spark, name)) == [(0,), (1,), (2,)]
+    seen = []
+    original = spark.sql
+    spark.sql = lambda text, *a, **k: (seen.append(spark.catalog.tableExists(name)), original(text, *a, **k))[1]
+    try:
+        published, old = tables.publish([version])
+    finally:
+        del spark.sql
+    assert all(seen) and len(old) == 1
+    assert published[name].count() == 5 and tables.scan_table(spark, name).count() == 5
+    assert rows(before) == [(0,), (1,), (2,)]
+
+
+def test_a_table_may_change_its_columns(spark, rows):
+    name = f"{new_namespace(spark, 'test')}.t"
+    tables.replace_table(spark.range(3), name)
+    tables.replace_table(spark.range(2).selectExpr("id", "'x' AS s"), name)
+    assert rows(tables.scan_table(spark, name)) == [(0, "x"), (1, "x")]
+
+
 def test_append_fills_defaults(spark, rows):
     name = f"{new_namespace(spark, 'test')}.t"
     schema = struct_of({"id": "int", "discount": "decimal(5,4)", "note": "string"}).add("gone", "boolean")
