@@ -41,6 +41,68 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan_mix(sizes, F.col("n_words")).apply(sizes)
 
 
+def _draw(*parts: str) -> str:
+    return f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 8) AS BIGINT)"
+
+
+ORACLES["op1_mixing"] = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, coalesce(CAST(doc_id AS VARCHAR), 'null') AS id, coalesce('=' || source, 'null') AS key,
+    len(list_filter(string_split_regex(coalesce(text, ''), '[ 	-]+'), lambda x: x <> '')) AS n_words
+  FROM documents
+), s AS (
+  SELECT key, CAST(sum(n_words) AS BIGINT) AS t, count(*) AS n FROM d GROUP BY key
+), total AS (
+  SELECT CAST(sum(t) AS DOUBLE) AS whole, max(t) FILTER (t > 0) / min(t) FILTER (t > 0) AS ratio, count(*) FILTER (t > 0) AS m FROM s
+), p AS (
+  SELECT key, t / whole AS share FROM s, total WHERE t > 0
+), bisection AS (
+  SELECT 0 AS i, CAST(0 AS DOUBLE) AS low, CAST(2 AS DOUBLE) AS high
+  UNION ALL
+  SELECT i + 1, CASE WHEN reached THEN middle ELSE low END, CASE WHEN reached THEN high ELSE middle END
+  FROM (
+    SELECT b.i, b.low, b.high, (b.low + b.high) / 2 AS middle,
+      (SELECT ln(sum(pow(share, (b.low + b.high) / 2)))
+         - (b.low + b.high) / 2 * sum(pow(share, (b.low + b.high) / 2) * ln(share)) / sum(pow(share, (b.low + b.high) / 2))
+       FROM p) >= (SELECT 0.999 * ln(m) - 1e-9 FROM total) AS reached
+    FROM bisection b WHERE b.i < 61
+  )
+), exponent AS (
+  SELECT CASE WHEN m < 2 OR ratio = 1 THEN 1 ELSE greatest(least(1, low), 1 - ln(2) / ln(ratio)) END AS x
+  FROM bisection, total WHERE i = 61
+), w AS (
+  SELECT key, pow(share, x) / sum(pow(share, x)) OVER () AS weight FROM p, exponent
+), budget AS (
+  SELECT ceil(max(t / weight) * (1 + 1e-12)) AS b FROM w JOIN s USING (key)
+), plan AS (
+  SELECT key, t, CAST(floor(sqrt(CAST(n - 1 AS DOUBLE))) AS BIGINT) + 1 AS blocks,
+    coalesce(CAST(floor(weight * b + 1e-6) AS BIGINT) // t, 1) AS passes,
+    coalesce(CAST(floor(weight * b + 1e-6) AS BIGINT) % t, 0) AS left_over
+  FROM s LEFT JOIN w USING (key), budget
+), dealt AS (
+  SELECT d.*, blocks, passes, left_over, {_draw("'block'", "id")} % blocks AS block FROM d JOIN plan USING (key)
+), b AS (
+  SELECT key, block, passes, left_over, sum(n_words) AS tokens FROM dealt GROUP BY ALL
+), ordered AS (
+  SELECT *, coalesce(sum(tokens) OVER (PARTITION BY key ORDER BY {_draw("'order'", "key", "block", "passes")}, block
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM b
+), edge AS (
+  SELECT key, id, room, sum(tokens) OVER (PARTITION BY key ORDER BY {_draw("'order'", "id", "passes")}, id) AS spent
+  FROM (
+    SELECT dealt.key, dealt.id, dealt.passes, o.left_over - o.before AS room, sum(n_words) AS tokens
+    FROM dealt JOIN ordered o ON o.key = dealt.key AND o.block = dealt.block
+    WHERE o.before < o.left_over AND o.before + o.tokens > o.left_over GROUP BY ALL
+  )
+)
+SELECT doc_id, source, n_words, CAST(unnest(range(copies)) AS INTEGER) AS pass FROM (
+  SELECT d.doc_id, d.source, d.n_words, d.passes
+    + CASE WHEN (d.key, d.block) IN (SELECT (key, block) FROM ordered WHERE before < left_over AND before + tokens <= left_over)
+        OR (d.key, d.id) IN (SELECT (key, id) FROM edge WHERE spent <= room) THEN 1 ELSE 0 END AS copies
+  FROM dealt d
+)
+"""
+
+
 @query
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
