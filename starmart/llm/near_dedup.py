@@ -18,7 +18,8 @@ probability of about ``miss`` in each batch; every link that is found is exact.
 
 Null and empty texts and texts without words have empty sets and are linked with nothing. A row with a null id
 takes no part: it is a component of its own without id, and kept. Repeated rows are in one class. If an id comes
-with several texts, it is linked with whatever any of them is linked with. Columns other than id and text are
+with several texts, each row has the component of its own text; texts of which it is the least id count as linked.
+Columns other than id and text are
 never read.
 """
 
@@ -42,7 +43,7 @@ BANDS, BAND_ROWS = 32, 4
 #: Hash functions compared between two looks at the posterior.
 BATCH = 16
 MISS = 1e-9
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 #: Texts in a block; a unit of verification holds two blocks. Blocks are dealt by hash, so sizes vary a little.
 BLOCK = 192
 #: Members of a band that are compared with the others in the second round, and the factor from round to round.

@@ -1,4 +1,4 @@
-"""The package's own code on the executors."""
+"""The package's own code on the executors, in batches of bounded size."""
 
 from __future__ import annotations
 
@@ -10,9 +10,18 @@ from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
 
+#: Bytes of the rows that a Python worker is given at a time: texts are long, and a worker holds several copies.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def ship_package(spark: SparkSession) -> None:
-    """Give the executors' Python workers this package, once for each application (as ``--py-files`` would)."""
+    """Give the executors' Python workers this package, once for each application (as ``--py-files`` would).
+
+    Also lowers the session's bound on the bytes of a batch, if it is higher than ``BATCH_BYTES``.
+    """
+    if int(spark.conf.get(_BATCH).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(_BATCH, f"{BATCH_BYTES}b")
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
