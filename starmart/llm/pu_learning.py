@@ -8,6 +8,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.session import scratch_path
+
 STEPS, RATE, SMOOTHING = 600, 0.05, 1e-3
 
 
@@ -22,7 +24,24 @@ class Linear:
         return 1.0 / (1.0 + np.exp(-np.clip(x @ self.weights + self.bias, -30, 30)))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Linear:
+class Marks:
+    """A matrix of zeros and ones, kept as the places of its ones; of numpy's operations it has what ``fit`` needs."""
+
+    def __init__(self, rows: np.ndarray, columns: np.ndarray, shape: tuple[int, int]):
+        self.rows, self.columns, self.shape = rows, columns, shape
+
+    def __len__(self) -> int:
+        return self.shape[0]
+
+    @property
+    def T(self) -> Marks:  # noqa: N802
+        return Marks(self.columns, self.rows, self.shape[::-1])
+
+    def __matmul__(self, vector: np.ndarray) -> np.ndarray:
+        return np.bincount(self.rows, weights=vector[self.columns], minlength=self.shape[0])
+
+
+def fit(positive: np.ndarray | Marks, unlabelled: np.ndarray | Marks, prior: float) -> Linear:
     """Minimise prior * R(positive as 1) + max(0, R(unlabelled as 0) - prior * R(positive as 0)).
 
     R is the mean logistic loss. Where the difference is negative, which the true risk can't be, the step goes
@@ -73,5 +92,7 @@ def training_rows(
     others = rows.select(F.col(id).alias("id")).orderBy(by_hash, id).limit(unlabelled)
     wanted = chosen.select("id", F.lit(True).alias("positive")).unionByName(others.select("id", F.lit(False).alias("positive")))
     texts = rows.select(F.col(id).alias("id"), F.coalesce(text, F.lit("")).alias("text"))
-    # positives + unlabelled rows at most
-    return texts.join(F.broadcast(wanted), "id").select("text", "positive").distinct(), prior
+    # positives + unlabelled rows at most, written because they are read several times
+    path = scratch_path(docs.sparkSession, "training")
+    texts.join(F.broadcast(wanted), "id").select("text", "positive").distinct().write.parquet(path)
+    return docs.sparkSession.read.parquet(path), prior

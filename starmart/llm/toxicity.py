@@ -29,7 +29,7 @@ MARKS, LEAST_POSITIVES, LEAST_DEVIATIONS = 1024, 3, 4.0
 LEAST_PRECISION = 0.4
 #: Bytes of the beginnings of words.
 PREFIXES = (4, 5, 6, 7)
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 _INNER = np.zeros(256, bool)
 _INNER[0x30:0x3A] = _INNER[0x41:0x5B] = _INNER[0x61:0x7B] = _INNER[0x80:] = True
@@ -129,11 +129,13 @@ def fit(
 
     found = rows.select("positive", present("text").alias("at")).collect()
     found.sort(key=lambda r: (r["positive"], r["at"]))
-    x = np.zeros((len(found), len(chosen)), np.float32)
-    for i, r in enumerate(found):
-        x[i, r["at"]] = 1
-    positive = np.array([r["positive"] for r in found], bool)
-    return ToxicityModel(model.marks, pu_learning.fit(x[positive], x[~positive], prior))
+    positive, unlabelled = (_as_marks([r["at"] for r in found if r["positive"] == kind], len(chosen)) for kind in (True, False))
+    return ToxicityModel(model.marks, pu_learning.fit(positive, unlabelled, prior))
+
+
+def _as_marks(rows: list[list[int]], width: int) -> pu_learning.Marks:
+    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    return pu_learning.Marks(owner, np.array([at for r in rows for at in r], int), (len(rows), width))
 
 
 def score(model: ToxicityModel) -> Callable[[Column], Column]:
