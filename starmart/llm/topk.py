@@ -29,6 +29,8 @@ from starmart.session import scratch_path
 
 #: Pivots, the rows they are chosen from, annuli of each pivot, rows of a cell and queries of a block.
 PIVOTS, SAMPLE, RINGS, CELL, BLOCK = 16, 2048, 16, 4096, 1024
+#: Below every score.
+NOTHING_KNOWN = -(2**62)
 
 
 def valid(vector: Column, factor: int = 256) -> Column:
@@ -165,7 +167,7 @@ class PivotIndex:
         )
         cells = self.keyed.drop("cells").join(table, ["pivot", "ring"]).select("id", "vector", "annulus", "cell")
         def visit(unit: pd.DataFrame) -> pd.DataFrame:
-            """The k best rows of a cell for each query of a block that may have some there."""
+            """The k best rows of a cell, none worse than what is known, for each query of a block that may have some there."""
             asking = unit[unit["asks"]]
             rows = unit[~unit["asks"]]
             out = []
@@ -176,20 +178,22 @@ class PivotIndex:
                 bound = bounds_of(asked)[:, int(unit["annulus"].iloc[0])]
                 wanted = ~(bound > reach * (1 + 1e-9) + 1e-6)  # no reach yet: everything is within it
                 keys, asked = asking["id"].to_numpy()[wanted], asked[wanted]
+                least = asking["least"].to_numpy(np.int64)[wanted]
                 top = float(largest)
                 most = max(float((asked.astype(float) ** 2).sum(axis=1).max(initial=0)), top)
                 scores = _products(asked, vectors, most)
-                for key, own in zip(keys, scores):
-                    other = np.flatnonzero(ids != key)
+                for key, own, low in zip(keys, scores, least):
+                    other = np.flatnonzero((ids != key) & (own >= low))
                     best = other[_best(own[other], ids[other], k)]
                     out += [(key, ids[i], own[i]) for i in best]
             return pd.DataFrame(out, columns=["query_id", "id", "score"], dtype="int64")
 
         def visited(asks: DataFrame, rows: DataFrame, name: str) -> DataFrame:
-            asks = asks.select("id", "vector", "annulus", "cell", "part", "reach", F.lit(True).alias("asks"))
+            asks = asks.select("id", "vector", "annulus", "cell", "part", "reach", "least", F.lit(True).alias("asks"))
             rows = rows.select(
-                "id", "vector", "annulus", "cell", "part", F.lit(None).cast("double").alias("reach"), F.lit(False).alias("asks")
-            )
+                "id", "vector", "annulus", "cell", "part", F.lit(None).cast("double").alias("reach"),
+                F.lit(NOTHING_KNOWN).alias("least"), F.lit(False).alias("asks"),
+            )
             found = asks.unionByName(rows).groupBy("annulus", "cell", "part").applyInPandas(
                 visit, "query_id long, id long, score long"
             )
@@ -199,8 +203,9 @@ class PivotIndex:
         # First the annulus with the least bound, for what can be reached there.
         at_home = table.select(F.col("annulus").alias("home"), F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"))
         asks = queries.join(at_home, "home").select(
-            "id", "vector", F.col("home").alias("annulus"), "cell", "part", F.lit(None).cast("double").alias("reach")
-        )
+            "id", "vector", F.col("home").alias("annulus"), "cell", "part", F.lit(None).cast("double").alias("reach"),
+            F.lit(NOTHING_KNOWN).alias("least"),
+        )
         needed = asks.select("annulus", "cell", "part").distinct()
         first = visited(asks, cells.join(needed, ["annulus", "cell"]), "first")
         by_score = W.partitionBy("query_id").orderBy(F.desc("score"), "id")
@@ -209,7 +214,7 @@ class PivotIndex:
         square = norm + F.lit(float(self.largest)) - 2 * F.col("score").cast("double")
         reached = queries.join(kth.select(F.col("query_id").alias("id"), "score"), "id", "left").withColumn(
             "reach", F.when(F.col("score").isNotNull(), F.sqrt(F.greatest(square, F.lit(0.0))))
-        )
+        ).withColumn("least", F.coalesce("score", F.lit(NOTHING_KNOWN)))
         # Then all others that the bounds allow, annuli in order of their bound.
         @F.pandas_udf("array<int>")
         def outwards(vector: pd.Series, reach: pd.Series, home: pd.Series) -> pd.Series:
