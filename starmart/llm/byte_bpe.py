@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 #: Pieces whose encoding a worker remembers, in two generations of this size each; longer ones than this many
 #: characters are not remembered. Likewise pairs of tokens and steps of the automaton.
-CACHED, CACHED_CHARS = 300_000, 48
+CACHED, CACHED_CHARS = 250_000, 48
 CACHED_PAIRS = 1_000_000
 
 
@@ -52,6 +52,9 @@ class Recent(dict):
         self[key] = value
         return value
 
+    def drop_older(self) -> None:
+        self._older = {}
+
 
 class PrefixTable:
     """The last token of the encoding of every prefix of some bytes (a piece or any byte string)."""
@@ -135,6 +138,7 @@ class ByteBpe:
         self.longest = max(map(len, self.proper), default=1)
         self._find_tokens()
         self._pieces = Recent(self._remember)
+        self._written = {i: str(i) for i in self.tokens}
 
     def _find_tokens(self) -> None:
         """An automaton over bytes whose state tells the tokens that end here, longest first."""
@@ -225,17 +229,20 @@ class ByteBpe:
         whole = self.ranks.get(piece)
         return [whole] if whole is not None else PrefixTable(self, piece).ids()
 
-    def _remember(self, piece: str) -> tuple[tuple[int, ...], str]:
-        ids = tuple(self.encode_piece(piece.encode("utf-8", "replace")))
-        return ids, ",".join(map(str, ids))
+    def _remember(self, piece: str) -> tuple[int, ...]:
+        return tuple(self.encode_piece(piece.encode("utf-8", "replace")))
 
     def encode(self, text: str) -> list[int]:
-        return [i for ids, _ in map(self._pieces.__getitem__, self.cut.findall(text)) for i in ids]
+        return list(chain.from_iterable(map(self._pieces.__getitem__, self.cut.findall(text))))
 
     def encode_with_text(self, text: str) -> tuple[list[int], str]:
         """The ids, and the same as decimal numbers joined by commas."""
-        found = list(map(self._pieces.__getitem__, self.cut.findall(text)))
-        return [i for ids, _ in found for i in ids], ",".join([written for _, written in found])
+        ids = self.encode(text)
+        return ids, ",".join(map(self._written.__getitem__, ids))
+
+    def rest(self) -> None:
+        """Keep only the younger generation of pieces while a worker waits for its next task."""
+        self._pieces.drop_older()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -260,6 +267,7 @@ def encode(path: str, pattern: str) -> Callable[[Column], Column]:
         bpe = load(path, pattern)
         for batch in batches:
             yield pd.Series([np.array(bpe.encode(t or ""), np.int32) for t in batch], dtype=object)
+        bpe.rest()
 
     return run
 
@@ -300,5 +308,6 @@ def round_trip(path: str, pattern: str) -> Callable[[Column], Column]:
                     "decoded": pd.Series(decoded, dtype=object),
                 }
             )
+        bpe.rest()
 
     return run

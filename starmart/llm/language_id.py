@@ -30,7 +30,7 @@ SAMPLE_ROWS, SAMPLE_ROW_CHARS, SAMPLE_CHARS = 64, 2048, 32768
 #: Letters told apart; rarer ones match nothing.
 LETTERS = 250
 BLOCK = 2048
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)

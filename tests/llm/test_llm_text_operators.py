@@ -172,7 +172,7 @@ def test_an_edit_computes_few_entries(bpe):
 def test_a_small_memory_changes_nothing(bpe, texts):
     small = byte_bpe.Recent(bpe._remember, most=7)
     for piece in bpe.cut.findall(texts[0]) * 2:
-        assert small[piece][0] == tuple(bpe.encode_piece(piece.encode()))
+        assert small[piece] == tuple(bpe.encode_piece(piece.encode()))
     assert len(small) <= 7 and len(small._older) <= 7
 
 
