@@ -7,8 +7,10 @@ result holds the connected components of these links.
 2. Signatures of classes are cut into bands; classes that share a band are candidates.
 3. Candidates' signatures are compared in batches of hash functions. After each batch a pair is given up if the
    posterior probability that it is similar enough is below ``miss``. In a band, first the least class is compared
-   with the others, then, only across what is not yet connected, more and more of them, until all pairs across are
-   compared. So a band of thousands of similar classes takes no more rows than it has members, and none is cut.
+   with the others, then about ``HUBS`` of them with those that are not yet connected with them (in a band of up to
+   ``HUBS`` members that is every pair), and in larger bands at last the members outside of the band's main part with
+   all of its members, in units of two blocks. So a band of thousands of similar classes takes few rows more than it
+   has members, and none is cut.
 4. What is connected that way is a cluster. Within clusters, pairs are verified on the full sets, in units of a
    few hundred texts: first one block of a large cluster against all blocks, then those of its members that
    differ from the main part against all blocks. Pairs that are already connected need no check.
@@ -46,8 +48,8 @@ MISS = 1e-9
 SLICE_BYTES = 1 << 19
 #: Texts in a block; a unit of verification holds two blocks. Blocks are dealt by hash, so sizes vary a little.
 BLOCK = 192
-#: Members of a band that are compared with the others in the second round, and the factor from round to round.
-FIRST_HUBS, MORE_HUBS = 16, 16
+#: Members of a band that are compared with the others in the second round.
+HUBS = 16
 
 
 def least_matches(percent: int, hashes: int, miss: float = MISS) -> np.ndarray:
@@ -144,6 +146,36 @@ def _own_set(text: bytes, words: int) -> np.ndarray:
     return shingle_sets([text], words).values
 
 
+def compare_unit(
+    nodes: np.ndarray, labels: list, sizes: np.ndarray, x: np.ndarray, y: np.ndarray, marks: np.ndarray, percent: int, needed
+) -> list[tuple[int, int]]:
+    """Pairs of x and y rows of a unit that are not given up and connect what was not yet connected."""
+    left, right = _across(labels, x, y)
+    close = 100 * np.minimum(sizes[left], sizes[right]) >= percent * np.maximum(sizes[left], sizes[right])
+    left, right = left[close], right[close]
+    joined, links = _Joined(labels), []
+    for at in range(0, len(left), 1 << 16):
+        a, b = left[at : at + (1 << 16)], right[at : at + (1 << 16)]
+        alive = similar_enough(marks[a], marks[b], needed)
+        for i, j in zip(a[alive].tolist(), b[alive].tolist()):
+            root_i, root_j = joined.root(i), joined.root(j)
+            if root_i != root_j:
+                joined.to[max(root_i, root_j)] = min(root_i, root_j)
+                links.append((int(nodes[i]), int(nodes[j])))
+    return links
+
+
+def _across(labels: list, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of an x and a y row with different labels, each once."""
+    left, right = np.nonzero(x[:, None] & y[None, :])
+    once = ((left < right) | ~(x[right] & y[left])) & (left != right)
+    left, right = left[once], right[once]
+    joined = _Joined(labels)
+    roots = np.array([joined.root(i) for i in range(len(labels))])
+    apart = roots[left] != roots[right]
+    return left[apart], right[apart]
+
+
 def verify_unit(
     nodes: np.ndarray, labels: list, x: np.ndarray, y: np.ndarray, texts: list[bytes], words: int, percent: int, needed
 ) -> list[tuple[int, int]]:
@@ -155,14 +187,8 @@ def verify_unit(
         sets += [part.of(i) for i in range(b - a)]
         signed.append(signatures(part, len(needed) * BATCH))
     marks = np.concatenate(signed)
-    left, right = np.nonzero(x[:, None] & y[None, :])
-    once = (left < right) | ~(x[right] & y[left])
-    once &= left != right
-    left, right = left[once], right[once]
+    left, right = _across(labels, x, y)
     joined = _Joined(labels)
-    roots = np.array([joined.root(i) for i in range(len(nodes))])
-    apart = roots[left] != roots[right]
-    left, right = left[apart], right[apart]
     links = []
     if len(left):
         alive = np.zeros(len(left), bool)
@@ -244,32 +270,63 @@ class _Search:
         pairs = self.prune(first, 0)
         labels = self.labelled(pairs, "0")
         draw = (F.pmod(F.xxhash64("key", "node"), F.lit(1 << 53)) / F.lit(float(1 << 53))).alias("draw")
-        below, upto, number = 0, FIRST_HUBS, 0
-        while True:
-            number += 1
-            now = members.join(labels, "node", "left").select(
-                "key", "node", "n", "k", draw, F.coalesce("label", "node").alias("label")
-            )
-            mixed = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-            mixed = mixed.filter("low < high").select("key")
-            now = self.written(now.join(mixed, "key").filter(F.col("k") > below), f"open-{number}")
-            most = now.agg(F.max("k")).first()[0]
-            if most is None:
-                return labels
-            turn = (F.col("draw") >= below / F.col("k")) & (F.col("draw") < upto / F.col("k"))
-            hubs = now.filter(turn).select(
-                "key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("label_a"), F.col("draw").alias("draw_a")
-            )
-            across = hubs.join(now, "key").filter(
-                (F.col("label") != F.col("label_a")) & (F.struct("draw", "node") > F.struct("draw_a", "a"))
+        now = self.open(members, labels, draw)
+        hubs = now.filter(F.col("draw") < HUBS / F.col("k")).select(
+            "key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("label_a"), F.col("draw").alias("draw_a")
+        )
+        across = hubs.join(now, "key").filter(
+            (F.col("label") != F.col("label_a")) & (F.struct("draw", "node") > F.struct("draw_a", "a"))
+        )
+        more = self.prune(across.select("a", F.col("node").alias("b"), "n_a", F.col("n").alias("n_b")), 1)
+        if not more.isEmpty():
+            pairs = pairs.unionByName(more)
+            labels = self.labelled(pairs, "1")
+        now = self.open(members.filter(F.col("k") > HUBS), labels, draw)
+        if now.isEmpty():
+            return labels
+        rest = self.compare_blocks(now)
+        return labels if rest.isEmpty() else self.labelled(pairs.unionByName(rest), "2")
+
+    def open(self, members: DataFrame, labels: DataFrame, draw) -> DataFrame:
+        """Members, with their labels, of the bands that are not all connected."""
+        now = members.join(labels, "node", "left").select(
+            "key", "node", "n", "k", draw, F.coalesce("label", "node").alias("label")
+        )
+        mixed = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        return self.written(now.join(mixed.filter("low < high").select("key"), "key"), "open")
+
+    def compare_blocks(self, now: DataFrame) -> DataFrame:
+        """Pairs (a, b) of a band's members outside of its main part with any of its members, not given up."""
+        percent, needed = self.percent, self.needed
+
+        def run(unit: pd.DataFrame) -> pd.DataFrame:
+            same = unit.groupby("node", sort=True).agg(
+                {"label": "first", "n": "first", "signature": "first", "x": "any", "y": "any"}
             )
-            more = self.prune(across.select("a", F.col("node").alias("b"), "n_a", F.col("n").alias("n_b")), number)
-            if not more.isEmpty():
-                pairs = pairs.unionByName(more)
-                labels = self.labelled(pairs, str(number))
-            if most <= upto:
-                return labels
-            below, upto = upto, upto * MORE_HUBS
+            links = compare_unit(
+                same.index.to_numpy(), same["label"].tolist(), same["n"].to_numpy(), same["x"].to_numpy(bool),
+                same["y"].to_numpy(bool), np.frombuffer(b"".join(same["signature"]), np.uint32).reshape(len(same), -1),
+                percent, needed,
+            )
+            return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+        counts = now.groupBy("key", "label").count()
+        main = counts.groupBy("key").agg(
+            F.max_by("label", F.struct("count", "label")).alias("main"), F.sum("count").alias("size"), F.max("count").alias("most")
+        )
+        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+        strips = F.ceil((F.col("size") - F.col("most")) / BLOCK).cast("int")
+        dealt = F.xxhash64(F.col("node"), F.lit("block"))
+        now = now.join(main, "key").select(
+            "key", "node", "n", "label", (F.col("label") != F.col("main")).alias("x"), blocks.alias("blocks"), strips.alias("strips")
+        )
+        now = now.withColumns({"j": F.pmod(dealt, F.col("blocks")).cast("int"), "i": F.pmod(dealt, F.col("strips")).cast("int")})
+        every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+        as_x = now.filter("x").select("key", "node", "n", "label", "i", every("blocks").alias("j"), F.lit(True).alias("x"), F.lit(False).alias("y"))
+        as_y = now.select("key", "node", "n", "label", every("strips").alias("i"), "j", F.lit(False).alias("x"), F.lit(True).alias("y"))
+        marks = self.reps.select("node", "signature")
+        units = as_x.unionByName(as_y).join(marks, "node")
+        return self.written(units.groupBy("key", "i", "j").applyInPandas(run, "a long, b long").distinct(), "blocks")
 
     def verify(self, units: DataFrame, name: str) -> DataFrame:
         """Links (a, b) that units (node, cluster, i, j, label, x, y) verify; texts are read again for them."""

@@ -146,7 +146,7 @@ def test_near_families(spark, words):
 
 def test_a_large_family_in_many_blocks_and_rounds(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK", 16)
-    monkeypatch.setattr(near_dedup, "FIRST_HUBS", 2)
+    monkeypatch.setattr(near_dedup, "HUBS", 2)
     rows = family(random.Random(5), 0, 300, 60, 9) + family(random.Random(6), 1000, 30, 60, 2) + [(2000, "one two three")]
     assert result(near_duplicates(table(spark, rows), words=2)) == expected_components(rows)
 
@@ -182,6 +182,35 @@ def test_posterior_bounds():
     assert near_dedup.similar_enough(left, np.where(apart, 0, 1).astype(np.uint32), needed).mean() < 0.01
 
 
+def test_a_unit_connects_what_is_not_given_up():
+    rng = np.random.default_rng(3)
+    needed = near_dedup.least_matches(80, 128)
+    base = rng.integers(0, 2**32, (6, 128), dtype=np.uint32)
+    marks = np.concatenate([np.where(rng.random((9, 128)) < 0.9, b, rng.integers(0, 2**32, (9, 128), dtype=np.uint32)) for b in base])
+    nodes, n = np.arange(100, 154), np.full(54, 50)
+    x = rng.random(54) < 0.5
+    labels = [int(i) if i % 3 else 100 for i in nodes]
+    links = near_dedup.compare_unit(nodes, labels, n, x, ~x | (nodes % 2 == 0), marks, 80, needed)
+    label = dict(zip(nodes.tolist(), labels))
+
+    def spread(pairs):
+        own = dict(label)
+        for _ in range(60):
+            for a, b in pairs:
+                low, high = sorted((own[a], own[b]))
+                own = {k: low if v == high else v for k, v in own.items()}
+        return own
+
+    y = ~x | (nodes % 2 == 0)
+    brute = [
+        (int(nodes[i]), int(nodes[j]))
+        for i in range(54)
+        for j in range(54)
+        if i != j and x[i] and y[j] and near_dedup.similar_enough(marks[[i]], marks[[j]], needed)[0]
+    ]
+    assert spread(links) == spread(brute) and len(links) < len(label)
+
+
 def test_signatures_estimate_similarity():
     a = " ".join(map(str, range(1000)))
     b = " ".join(map(str, range(100, 1100)))
