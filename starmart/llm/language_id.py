@@ -27,7 +27,7 @@ from starmart.llm.arrays import slices
 UNKNOWN = "und"
 #: Labelled rows taken of each language, characters taken of each of them, and characters kept of a language.
 SAMPLE_ROWS, SAMPLE_ROW_CHARS, SAMPLE_CHARS = 64, 2048, 32768
-#: Letters told apart; rarer ones match nothing.
+#: Letters, the most frequent ones, whose transitions are a dense table; those of all others are looked up. Speed only.
 LETTERS = 250
 BLOCK = 2048
 SLICE_BYTES = 1 << 20
@@ -108,7 +108,9 @@ def _automaton(symbols: list[int]) -> tuple[list[dict[int, int]], int]:
 class CrossParser:
     """The automata of all languages as one table, walked by many texts at once.
 
-    An entry of the table holds the next row's offset times two, plus one if the symbol starts a new phrase.
+    An entry of the table holds the next row's offset times two, plus one if the symbol starts a new phrase. Every
+    letter of the labelled text is a symbol of its own. Symbols from ``width`` on are the letters without a column:
+    ``keys`` has their transitions, sorted by state and symbol, and ``starts`` the first ones of each language.
     """
 
     def __init__(self, model: LanguageModel):
@@ -119,31 +121,57 @@ class CrossParser:
             for c in text.lower():
                 if letter[ord(c)]:
                     counts[c] = counts.get(c, 0) + 1
-        kept = sorted(counts, key=lambda c: (-counts[c], c))[:LETTERS]
+        seen = sorted(counts, key=lambda c: (-counts[c], c))
+        kept, rare = seen[:LETTERS], seen[LETTERS:]
         self.unknown = len(kept) + 1
         self.width = len(kept) + 2
-        self.symbol = np.where(letter, self.unknown, 0).astype(np.uint8)
+        self.size = self.width + len(rare)
+        self.symbol = np.where(letter, self.unknown, 0).astype(np.uint8 if self.size <= 2**8 else np.int32)
         for i, c in enumerate(kept):
             self.symbol[ord(c)] = i + 1
+        for i, c in enumerate(rare):
+            self.symbol[ord(c)] = self.width + i
         tables, roots, self.bits, base = [], [], [], 0
+        starts, keys, targets = [], [], []
         for _, text in model.samples:
             symbols, _ = self._normalised([text])
             out, states = _automaton(symbols.tolist())
-            start = np.full(self.width, base * self.width * 2 + 1, np.int64)
+            start = np.full(self.size, base * self.width * 2 + 1, np.int64)
             for s, t in out[0].items():
                 start[s] = (base + t) * self.width * 2 + 1
-            table = np.tile(start, (states, 1))
+            table = np.tile(start[: self.width], (states, 1))
             for at in range(1, states):
                 for s, t in out[at].items():
-                    table[at, s] = (base + t) * self.width * 2
+                    if s < self.width:
+                        table[at, s] = (base + t) * self.width * 2
+                    else:
+                        keys.append((base + at) * self.size + s)
+                        targets.append((base + t) * self.width * 2)
             table[:, self.unknown] = base * self.width * 2 + 1
             tables.append(table)
+            starts.append(start[self.width :])
             roots.append(base * self.width * 2)
             self.bits.append(math.log2(len(symbols) + 2))
             base += states
         self.roots = np.array(roots, np.int64)
         kind = np.int32 if base * self.width * 2 < 2**31 - 2 * self.width else np.int64
         self.table = np.concatenate(tables).ravel().astype(kind) if tables else np.zeros(0, kind)
+        order = np.argsort(np.array(keys, np.int64))
+        # The last key is above all others, so that every search ends at one.
+        self.keys = np.append(np.array(keys, np.int64)[order], np.iinfo(np.int64).max)
+        self.targets = np.append(np.array(targets, kind)[order], kind(0))
+        self.starts = np.array(starts, kind).reshape(len(starts), len(rare))
+
+    def _moved(self, state: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """The entries that texts in these states (by language and text) reach with one symbol each."""
+        rare = np.flatnonzero(symbols >= self.width)
+        if not len(rare):
+            return self.table.take((state >> 1) + symbols)
+        moved = self.table.take((state >> 1) + np.where(symbols < self.width, symbols, self.unknown))
+        wanted = (state[:, rare] >> 1).astype(np.int64) // self.width * self.size + symbols[rare]
+        at = np.searchsorted(self.keys, wanted)
+        moved[:, rare] = np.where(self.keys[at] == wanted, self.targets[at], self.starts[:, symbols[rare] - self.width])
+        return moved
 
     def _normalised(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of all texts after one another, and where each text begins."""
@@ -183,7 +211,7 @@ class CrossParser:
         count = np.zeros(state.shape, np.int32)
         for step in range(steps):
             n = active[step]
-            moved = self.table.take((state[:, :n] >> 1) + lanes[step, :n])
+            moved = self._moved(state[:, :n], lanes[step, :n])
             count[:, :n] += moved & 1
             state[:, :n] = moved
         np.add.at(found, owner, count.T)

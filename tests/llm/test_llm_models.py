@@ -258,6 +258,14 @@ def test_stages_on_edge_rows(spark):
     assert {r.doc_id for r in docs.collect()} == kept["near"]
 
 
+def test_language_stage_keeps_languages_of_many_letters(spark):
+    rng = random.Random(4)
+    text = lambda first, letters: "".join(chr(first + rng.randrange(letters)) for _ in range(1500))
+    rows = [(i, text(*part), lang) for i in range(60) for part, lang in [[((97, 26), "en"), ((0x4E00, 2500), "zh"), ((0xAC00, 2000), "ko")][i % 3]]]
+    docs = spark.createDataFrame(rows + [(99, text(0x3041, 80), None)], "doc_id long, text string, lang string")
+    assert {r.doc_id for r in corpus_pipeline.language(spark, docs, SF_DIR).collect()} == set(range(60))
+
+
 def test_stages_on_an_empty_table(spark):
     docs = spark.createDataFrame([], EXTRA)
     for _, stage in corpus_pipeline.STAGES:

@@ -81,6 +81,29 @@ def test_phrases_equal_brute_force(texts):
         assert list(row) == [phrases(normal(s), normal(text)) for _, s in model.samples]
 
 
+def many_letters(seed, first, letters, size):
+    """Text of words out of thousands of letters, as Chinese and Korean have them."""
+    draw = random.Random(seed)
+    words = ["".join(chr(first + draw.randrange(letters)) for _ in range(draw.randrange(1, 5))) for _ in range(size // 4)]
+    return " ".join(draw.choice(words) for _ in range(size // 3))
+
+
+def test_every_letter_of_the_labelled_text_is_told_apart(texts):
+    han, hangul = many_letters(1, 0x4E00, 3000, 6000), many_letters(2, 0xAC00, 2000, 6000)
+    model = language_id.LanguageModel((("en", texts[0][:3000]), ("ko", hangul), ("zh", han)))
+    parser = language_id.CrossParser(model)
+    some = [han[500:1500], hangul[700:1700], texts[1][:800], han[:200] + hangul[:200] + texts[0][:200], "\u0416 " + han[:9], ""]
+    found, _ = parser.phrases(some)
+    for row, text in zip(found, some):
+        assert list(row) == [phrases(normal(s), normal(text)) for _, s in model.samples]
+    assert parser.predict(some)[0][:3] == ["zh", "ko", "en"]
+    seen = set("".join(s.lower() for _, s in model.samples))
+    for share, text in zip(parser.known_share(some), some):
+        letters = [c in seen for c in normal(text) if c != " "]
+        assert share == pytest.approx(sum(letters) / len(letters) if letters else 0)
+    assert set(parser.known_share(some)[[0, 1, 3]]) == {1.0}
+
+
 def test_blocks_change_little(texts):
     parser = language_id.CrossParser(language_id.LanguageModel((("a", texts[0]), ("b", texts[1]))))
     long = " ".join(texts[:20])
