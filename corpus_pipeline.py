@@ -2,7 +2,8 @@
 
 1. language: documents without letters, or most of whose letters no language's labelled text has, go.
 2. exact duplicates: of equal texts (A-Z in lower case) the row with the largest id stays.
-3. near duplicates: of each component of documents with 80 % equal five-word shingles, the least id stays.
+3. near duplicates: of each component of documents with 80 % equal five-word shingles, the least id stays. Where an
+   id has several texts, each of them is judged by itself.
 4. mixing: sources are repeated towards equal weights, none more than twice as often as any other; every
    document is passed over at least once.
 5. encoding: each pass over a document becomes one row with its tokens.
@@ -64,11 +65,13 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     found = near_dedup.near_duplicates(docs)
     path = scratch_path(spark, "dropped")
-    ident = free_name(docs, "id")
-    found.filter("NOT kept").select(F.col("id").alias(ident)).distinct().write.parquet(path)
+    ident, digest = free_name(docs, "id"), free_name(docs, "digest")
+    found.filter("NOT kept").select(F.col("id").alias(ident), F.col("digest").alias(digest + "_")).distinct().write.parquet(path)
     dropped = spark.read.parquet(path)
     dropped = if_small(dropped, dropped.count())
-    return docs.join(dropped, docs["doc_id"] == dropped[ident], "left_anti")
+    rows = docs.withColumn(digest, exact_dedup.digest_of(F.col("text")))
+    same = (rows["doc_id"] == dropped[ident]) & (rows[digest] == dropped[digest + "_"])
+    return rows.join(dropped, same, "left_anti").drop(digest)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,9 +20,9 @@ probability of about ``miss`` in each batch; every link that is found is exact.
 
 Null and empty texts and texts without words have empty sets and are linked with nothing. A row with a null id
 takes no part: it is a component of its own without id, and kept. Repeated rows are in one class. If an id comes
-with several texts, each row has the component of its own text; texts of which it is the least id count as linked.
-Columns other than id and text are
-never read.
+with several texts, each row has the component of its own text, and texts are linked by what they hold alone: the
+same id is kept with one text and dropped with another. Rows of a component's least id are all kept. Columns other
+than id and text are never read.
 """
 
 from __future__ import annotations
@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from starmart.llm.arrays import slices
 from starmart.llm.columns import if_small, join_groups
 from starmart.llm.components import components
+from starmart.llm.exact_dedup import digest_of
 from starmart.llm.shingles import Sets, as_bytes, fingerprints, shingle_sets, signatures
 from starmart.session import scratch_path
 
@@ -227,14 +228,16 @@ class _Search:
 
     def describe(self) -> None:
         found = _describe(self.words, BANDS * BAND_ROWS)(F.col("text"))
-        rows = self.docs.select("id", found.alias("d")).select("id", "d.n", "d.f", "d.g", "d.signature")
-        self.rows = self.written(rows, "rows")
+        rows = self.docs.select("id", digest_of(F.col("text")).alias("digest"), found.alias("d"))
+        self.rows = self.written(rows.select("id", "digest", "d.n", "d.f", "d.g", "d.signature"), "rows")
         keyed = self.rows.filter("n > 0 AND id IS NOT NULL")
-        groups = keyed.groupBy("f", "g").agg(F.min("id").alias("node"), F.count("*").alias("copies"))
-        self.classes = self.written(groups, "classes")
-        first = self.classes.select("f", "g", F.col("node").alias("id"))
-        reps = keyed.join(first, ["f", "g", "id"]).dropDuplicates(["f", "g", "id"])
-        self.reps = self.written(reps.select(F.col("id").alias("node"), "n", "signature"), "reps")
+        groups = keyed.groupBy("f", "g").agg(F.min(F.struct("id", "digest")).alias("first"), F.count("*").alias("copies"))
+        # a number of its own, since several classes may have the same least id
+        groups = groups.sortWithinPartitions("f", "g").withColumn("node", F.monotonically_increasing_id())
+        self.classes = self.written(groups.select("node", "f", "g", "first.id", "first.digest", "copies"), "classes")
+        first = self.classes.select("f", "g", "id", "digest", "node")
+        reps = keyed.join(first, ["f", "g", "id", "digest"]).dropDuplicates(["node"])
+        self.reps = self.written(reps.select("node", "n", "signature"), "reps")
 
     def bands(self) -> DataFrame:
         """(key, node, n, k) of bands that at least two classes share; k is the number of members."""
@@ -329,22 +332,21 @@ class _Search:
         return self.written(units.groupBy("key", "i", "j").applyInPandas(run, "a long, b long").distinct(), "blocks")
 
     def verify(self, units: DataFrame, name: str) -> DataFrame:
-        """Links (a, b) that units (node, cluster, i, j, label, x, y) verify; texts are read again for them."""
+        """Links (a, b) that units (node, id, digest, cluster, i, j, label, x, y) verify; texts are read again for them."""
         words, percent, needed = self.words, self.percent, self.needed
 
         def run(unit: pd.DataFrame) -> pd.DataFrame:
-            same = unit.groupby(["id", "text"], sort=True, dropna=False).agg({"label": "first", "x": "any", "y": "any"})
+            same = unit.groupby("node", sort=True).agg({"text": "first", "label": "first", "x": "any", "y": "any"})
             same = same.reset_index()
             links = verify_unit(
-                same["id"].to_numpy(), same["label"].tolist(), same["x"].to_numpy(bool), same["y"].to_numpy(bool),
+                same["node"].to_numpy(), same["label"].tolist(), same["x"].to_numpy(bool), same["y"].to_numpy(bool),
                 [as_bytes(t) for t in same["text"]], words, percent, needed,
             )
             return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
         units = self.written(units, f"units-{name}")
-        texts = self.docs.filter("id IS NOT NULL").join(
-            if_small(units.withColumnRenamed("node", "id"), units.count()), "id"
-        )
+        texts = self.docs.filter("id IS NOT NULL").withColumn("digest", digest_of(F.col("text")))
+        texts = texts.join(if_small(units, units.count()), ["id", "digest"]).drop("id", "digest")
         links = texts.groupBy("cluster", "i", "j").applyInPandas(run, "a long, b long")
         return self.written(links, f"links-{name}")
 
@@ -354,11 +356,12 @@ class _Search:
         sizes = members.groupBy("cluster").agg(F.count("*").alias("size"))
         blocks = F.ceil(F.col("size") / BLOCK).cast("int")
         hashed = F.xxhash64(F.col("node"), F.lit("block"))
-        members = members.join(sizes, "cluster").select("node", "cluster", blocks.alias("blocks"))
+        members = members.join(sizes, "cluster").join(self.classes.select("node", "id", "digest"), "node")
+        members = members.select("node", "id", "digest", "cluster", blocks.alias("blocks"))
         members = self.written(members.withColumn("block", F.pmod(hashed, F.col("blocks")).cast("int")), "members")
         one = F.when(F.col("block") == 0, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
-        units = members.select("node", "cluster", "block", F.explode(one).alias("j")).select(
-            "node", "cluster", F.lit(0).alias("i"), "j", F.col("node").alias("label"),
+        units = members.select("node", "id", "digest", "cluster", "block", F.explode(one).alias("j")).select(
+            "node", "id", "digest", "cluster", F.lit(0).alias("i"), "j", F.col("node").alias("label"),
             (F.col("block") == 0).alias("x"), (F.col("block") == F.col("j")).alias("y"),
         )
         links = self.verify(units, "first")
@@ -377,31 +380,38 @@ class _Search:
         strip = F.when(F.col("label") != F.col("main"), F.pmod(hashed, F.col("strips")).cast("int"))
         now = self.written(now.withColumn("strip", strip), "strips")
         as_x = now.filter("strip IS NOT NULL").select(
-            "node", "cluster", F.col("strip").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"),
+            "node", "id", "digest", "cluster", F.col("strip").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"),
             "label", F.lit(True).alias("x"), F.lit(False).alias("y"),
         )
         as_y = now.select(
-            "node", "cluster", F.explode(F.sequence(F.lit(0), F.col("strips") - 1)).alias("i"), F.col("block").alias("j"),
+            "node", "id", "digest", "cluster", F.explode(F.sequence(F.lit(0), F.col("strips") - 1)).alias("i"), F.col("block").alias("j"),
             "label", F.lit(False).alias("x"), F.lit(True).alias("y"),
         )
         return links.unionByName(self.verify(as_x.unionByName(as_y), "rest"))
 
     def run(self) -> DataFrame:
         self.describe()
-        labels = self.labelled(self.links(), "all")
-        found = self.classes.join(labels, "node", "left").select(
-            "f", "g", "copies", F.coalesce("label", "node").alias("component")
+        labels = self.labelled(self.links(), "all").join(self.classes.select("node", "id"), "node")
+        labels = self.written(labels, "all")
+        least = self.written(labels.groupBy("label").agg(F.min("id").alias("component"), F.count("*").alias("size")), "least")
+        total = least.agg(F.sum("size")).first()[0] or 0
+        named = join_groups(labels.select("node", "label"), least, ["label"], "size", total).select("node", "component")
+        found = self.classes.join(named, "node", "left").select(
+            "f", "g", "copies", F.coalesce("component", "id").alias("component")
         )
         found = self.written(found, "found")
-        linked = self.rows.filter("n > 0 AND id IS NOT NULL").select("id", "n", "f", "g")
+        linked = self.rows.filter("n > 0 AND id IS NOT NULL").select("id", "digest", "n", "f", "g")
         total = found.agg(F.sum("copies")).first()[0] or 0
-        linked = join_groups(linked, found, ["f", "g"], "copies", total).select("id", "n", "component")
-        alone = self.rows.filter("n = 0 OR id IS NULL").select("id", "n", F.col("id").alias("component"))
+        linked = join_groups(linked, found, ["f", "g"], "copies", total).select("id", "n", "component", "digest")
+        alone = self.rows.filter("n = 0 OR id IS NULL").select("id", "n", F.col("id").alias("component"), "digest")
         return linked.unionByName(alone).withColumn("kept", F.col("id").eqNullSafe(F.col("component")))
 
 
 def near_duplicates(
     docs: DataFrame, *, words: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """One row for every row: id, n (size of its set), component (least id reachable), kept (id = component)."""
+    """One row for every row: id, n (size of its set), component (least id reachable), digest (of its text), kept (id = component).
+
+    Rows with equal id and digest have equal results.
+    """
     return _Search(docs, id, text, words, percent).run()

@@ -266,6 +266,19 @@ def test_language_stage_keeps_languages_of_many_letters(spark):
     assert {r.doc_id for r in corpus_pipeline.language(spark, docs, SF_DIR).collect()} == set(range(60))
 
 
+def test_near_stage_judges_each_text_of_an_id(spark):
+    long = lambda name: " ".join(f"{name}{i}" for i in range(60))
+    rows = [(1, "a b c d"), (2, "a b c d"), (2, "p q r s"), (3, "p q r s"), (4, "u v"), (4, "w x"),  # one shingle each
+            (11, long("n")), (12, long("n") + " more"), (12, long("alone")), (12, long("m")), (13, long("m") + " more"),
+            (None, long("n")), (12, None)]
+    docs = spark.createDataFrame([(i, t, 7) for i, t in rows], "doc_id long, text string, digest int")
+    got = corpus_pipeline.near(spark, docs, SF_DIR)
+    assert got.columns == docs.columns
+    expected = [(1, "a b c d"), (2, "p q r s"), (4, "u v"), (4, "w x"), (11, long("n")), (12, long("alone")), (12, long("m")),
+                (12, None), (None, long("n"))]
+    assert sorted(map(str, [(r.doc_id, r.text) for r in got.collect()])) == sorted(map(str, expected))
+
+
 def test_stages_on_an_empty_table(spark):
     docs = spark.createDataFrame([], EXTRA)
     for _, stage in corpus_pipeline.STAGES:
