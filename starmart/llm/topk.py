@@ -10,8 +10,9 @@ outwards, the cells whose bound |d(query, pivot) - annulus| is not beyond that.
 pivots come from a bounded sample, which affects speed, never results. Queries meet a cell in blocks.
 
 Rows with a null id, a null vector, or null or non-finite components take no part, neither do empty vectors or those
-with integer components beyond 2**26, whose products would not fit. Shorter vectors count as filled up with zeros. Rows that repeat an id are rows of their own as candidates (but never for a
-query with that id); a repeated query id is answered once, by its least vector. Ties go to the smaller id. Without
+with a component whose integer is no long (|x| of 2**55 or more with a factor of 256). Products are exact whatever
+their size; a score in the result that is no long fails the query. Shorter vectors count as filled up with zeros.
+Rows that repeat an id are rows of their own as candidates (but never for a query with that id); a repeated query id is answered once, by its least vector. Ties go to the smaller id. Without
 candidates there are no rows. Columns other than id and vector are never read.
 """
 
@@ -29,13 +30,17 @@ from starmart.session import scratch_path
 
 #: Pivots, the rows they are chosen from, annuli of each pivot, rows of a cell and queries of a block.
 PIVOTS, SAMPLE, RINGS, CELL, BLOCK = 16, 2048, 16, 4096, 1024
-#: Below every score.
-NOTHING_KNOWN = -(2**62)
+#: What stands for scores that are no long, and, negative, for none: every other score is between.
+BEYOND = 2**63 - 1
+NOTHING_KNOWN = -BEYOND
+#: Components are cut into limbs of so many bits where products are large, and multiplied in runs of so many columns.
+LIMB, COLUMNS = 21, 512
 
 
 def valid(vector: Column, factor: int = 256) -> Column:
-    """Whether a vector has components, none of them null, non-finite or beyond 2**26 / factor."""
-    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) > float(2**26 // factor)))
+    """Whether a vector has components, none of them null, non-finite or beyond a long as integers."""
+    scaled = lambda x: x.cast("double") * factor
+    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (scaled(x) >= 2.0**63) | (scaled(x) < -(2.0**63)))
     return F.coalesce(vector.isNotNull() & (F.size(vector) > 0) & ~bad, F.lit(False))
 
 
@@ -51,11 +56,45 @@ def _matrix(vectors, width: int) -> np.ndarray:
     return out
 
 
-def _products(queries: np.ndarray, rows: np.ndarray, largest: float) -> np.ndarray:
-    """Exact integer inner products; by floating point where every sum is below 2**53."""
-    if largest < 2**53:
+def _largest_norm(vectors: np.ndarray) -> float:
+    return float((vectors.astype(np.float64) ** 2).sum(axis=1).max(initial=0))
+
+
+def _products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Exact integer inner products, ``BEYOND`` or its negative where they are no long.
+
+    No product and no part of its sum is larger than that of the largest norms. By floating point where that is
+    below 2**53, by integers below 2**62, else by limbs.
+    """
+    most = np.sqrt(_largest_norm(queries)) * np.sqrt(_largest_norm(rows)) * (1 + 1e-9)
+    if most < 2**53:
         return (queries.astype(np.float64) @ rows.T.astype(np.float64)).astype(np.int64)
-    return queries @ rows.T
+    if most < 2**62:
+        return queries @ rows.T
+    return _large_products(queries, rows)
+
+
+def _limbs(vectors: np.ndarray) -> list[np.ndarray]:
+    mask = (1 << LIMB) - 1
+    return [(part).astype(np.float64) for part in (vectors & mask, (vectors >> LIMB) & mask, vectors >> 2 * LIMB)]
+
+
+def _large_products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """By three limbs of each component, whose products in a run of columns are below 2**53."""
+    mask = (1 << LIMB) - 1
+    sums = [np.zeros((len(queries), len(rows)), np.int64) for _ in range(5)]
+    for at in range(0, queries.shape[1], COLUMNS):
+        left, right = _limbs(queries[:, at : at + COLUMNS]), _limbs(rows[:, at : at + COLUMNS])
+        for i, x in enumerate(left):
+            for j, y in enumerate(right):
+                sums[i + j] += (x @ y.T).astype(np.int64)
+    for k in range(4):
+        sums[k + 1] += sums[k] >> LIMB
+        sums[k] &= mask
+    low = sums[0] + (sums[1] << LIMB) + (sums[2] << 2 * LIMB)  # 63 bits; the sign and what is above them are in the others
+    positive, negative = (sums[4] == 0) & (sums[3] == 0), (sums[4] == -1) & (sums[3] == mask)
+    out = np.where(positive, low, np.where(negative, low + np.iinfo(np.int64).min, np.where(sums[4] < 0, -BEYOND, BEYOND)))
+    return np.maximum(out, -BEYOND)
 
 
 def choose_pivots(sample: np.ndarray, count: int) -> np.ndarray:
@@ -176,12 +215,10 @@ class PivotIndex:
                 asked = _matrix(asking["vector"].to_list(), width)
                 reach = asking["reach"].to_numpy(float)
                 bound = bounds_of(asked)[:, int(unit["annulus"].iloc[0])]
-                wanted = ~(bound > reach * (1 + 1e-9) + 1e-6)  # no reach yet: everything is within it
+                wanted = ~(bound > reach * (1 + 1e-9) + _slack(asked, largest))  # no reach yet: everything is within it
                 keys, asked = asking["id"].to_numpy()[wanted], asked[wanted]
                 least = asking["least"].to_numpy(np.int64)[wanted]
-                top = float(largest)
-                most = max(float((asked.astype(float) ** 2).sum(axis=1).max(initial=0)), top)
-                scores = _products(asked, vectors, most)
+                scores = _products(asked, vectors)
                 for key, own, low in zip(keys, scores, least):
                     other = np.flatnonzero((ids != key) & (own >= low))
                     best = other[_best(own[other], ids[other], k)]
@@ -220,9 +257,10 @@ class PivotIndex:
         def outwards(vector: pd.Series, reach: pd.Series, home: pd.Series) -> pd.Series:
             if not len(vector):
                 return pd.Series([], dtype=object)
-            bound = bounds_of(_matrix(vector, width))
+            vectors = _matrix(vector, width)
+            bound = bounds_of(vectors)
             limit = reach.fillna(np.inf).to_numpy(float)[:, None]
-            open_ = bound <= limit * (1 + 1e-9) + 1e-6
+            open_ = bound <= limit * (1 + 1e-9) + _slack(vectors, largest)[:, None]
             open_[np.arange(len(open_)), home.to_numpy(int)] = False
             order = np.argsort(bound, axis=1, kind="stable")
             return pd.Series([o[keep[o]].astype(np.int32) for o, keep in zip(order, open_)], dtype=object)
@@ -235,7 +273,19 @@ class PivotIndex:
         needed = asks.select("annulus", "cell", "part").distinct()
         rest = visited(asks, cells.join(needed, ["annulus", "cell"]), "rest")
         best = first.unionByName(rest).withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k)
-        return best.select("query_id", F.col("rank").cast("int").alias("rank"), "id", "score")
+        beyond = F.raise_error(F.concat(F.lit("op8: the score is no long: query "), "query_id", F.lit(", row "), "id"))
+        score = F.when(F.col("score").between(-BEYOND + 1, BEYOND - 1), F.col("score")).otherwise(beyond.cast("long"))
+        return best.select("query_id", F.col("rank").cast("int").alias("rank"), "id", score.alias("score"))
+
+
+def _slack(vectors: np.ndarray, largest: float) -> np.ndarray:
+    """How far rounding can move a distance from each vector.
+
+    Squares of distances are sums and differences of squared norms, so their error is a share of those, and that of
+    a distance at most its root; a distance, an annulus, the lifted component and the reach each have one.
+    """
+    norms = (vectors.astype(np.float64) ** 2).sum(axis=1) + largest
+    return 1e-6 + 8 * np.sqrt(2.0**-52 * (vectors.shape[1] + 8) * norms)
 
 
 def _bounds(lifted: np.ndarray, pivots: np.ndarray, annuli: list) -> np.ndarray:

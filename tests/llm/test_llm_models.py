@@ -200,6 +200,31 @@ def test_search_equals_brute_force(spark, monkeypatch, cell):
     assert sorted(tuple(r) for r in got.collect()) == sorted(brute_top(rows, lambda i: i % 20 == 0, 5))
 
 
+def test_large_products_are_exact():
+    rng = random.Random(8)
+    for bits in (20, 28, 30, 31, 40, 63):
+        a, b = ([[rng.randrange(-(2**bits), 2**bits) for _ in range(5)] for _ in range(40)] for _ in range(2))
+        a[0], b[0] = [-(2**bits)] * 5, [1, -1, 0, 0, 0]
+        got = topk._products(np.array(a, np.int64), np.array(b, np.int64))
+        for x, row in zip(a, got.tolist()):
+            assert row == [max(-topk.BEYOND, min(topk.BEYOND, sum(p * q for p, q in zip(x, y)))) for y in b]
+    wide = np.full((1, 1500), 2**26, np.int64)
+    assert topk._large_products(wide, wide)[0, 0] == 1500 * 2**52
+
+
+def test_search_of_large_vectors(spark, monkeypatch):
+    ship_package(spark)
+    monkeypatch.setattr(topk, "CELL", 8)
+    rng = random.Random(9)
+    rows = [(i, [rng.gauss(i % 5, 0.3) * 3e5 for _ in range(4)]) for i in range(60)] + [(101, [300000.0] * 4), (102, [-300000.0] * 4)]
+    rows += [(i, [rng.gauss(0, 1) * 1e6 for _ in range(4)]) for i in range(200, 240)] + [(301, [2.0**24, 0.0, 0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(df, F.col("vec_id") % 20 == 0, k=5)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(brute_top(rows, lambda i: i % 20 == 0, 5))
+    with pytest.raises(Exception, match="the score is no long"):
+        topk.top_k(spark.createDataFrame([(0, [2.0**40]), (1, [2.0**40])], df.schema), F.col("vec_id") == 0).collect()
+
+
 def test_search_of_few_rows(spark):
     ship_package(spark)
     df = spark.createDataFrame([(0, [1.0, 2.0]), (3, [0.0, 0.0]), (4, [1.0, 1.0])], "vec_id long, embedding array<float>")
