@@ -7,9 +7,11 @@ form, advert, notice, comments. A decision tree, trained on the small labelled t
 main text.
 
 Character references are decoded, white space within a block becomes one space, blocks are joined by line breaks in
-the order of the page. Scripts, styles, comments of the markup and hidden elements are no text. A null or empty page
-has an empty text and 0 characters; broken, unclosed or cut off markup is read as far as it goes; a page of any length is
-read whole. Repeated rows give equal rows. Columns other than those named are never read.
+the order of the page. Scripts, styles, comments of the markup and hidden elements are no text, neither is what stands
+between the tags of drawings, lists of options and embedded media; formulas are. A null or empty page has an empty
+text and 0 characters; broken, unclosed or cut off markup is read as far as it goes: only raw text
+(such as scripts) reaches to the end of the page where it is not closed, all other skipped elements hide text only if
+they are closed. A page of any length is read whole. Repeated rows give equal rows. Columns other than those named are never read.
 """
 
 from __future__ import annotations
@@ -24,17 +26,20 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Elements without text of the page.
-_SKIPPED = "script|style|noscript|template|textarea|svg|math|iframe|object|select|title|canvas|audio|video"
+#: Elements whose content is no markup, up to their end tag or the end of the page; not shown as text.
+_RAW = frozenset("script style noscript textarea iframe title".split())
+#: Elements of markup without text of the page, if they are closed, and those of them and others that "/>" ends.
+_SKIPPED = frozenset("template svg object select canvas audio video annotation annotation-xml".split())
+_FOREIGN = frozenset(("svg", "math"))
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<({_SKIPPED})\b[^>]*+>.*?(?:</\1\s*+>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>"
     r"|<[!?][^>]*+(?:>|\Z)"
     r"|</?[a-zA-Z][^>]*+\Z",
     re.S | re.I,
 )
+_RAW_END = {name: re.compile(rf"</{name}\s*+>", re.I) for name in _RAW}
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?")
 
 #: Elements that end a text block where they start and end, and those of them that have no end.
@@ -44,10 +49,12 @@ _BLOCKS = frozenset(
     "section summary table tbody td tfoot th thead tr ul".split()
 )
 _EMPTY = frozenset(("br", "hr"))
+#: Elements that the start of a block ends.
+_ENDED = frozenset(("p", "option"))
 _HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
 #: Names of elements and words of their class, id and role that say what they hold.
-_OTHER_TAGS = frozenset("nav header footer aside form menu button dialog fieldset head".split())
+_OTHER_TAGS = frozenset("nav header footer aside form menu button dialog fieldset head option".split())
 _MAIN_TAGS = frozenset(("article", "main"))
 _OTHER_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising advertorial alert banner breadcrumb breadcrumbs captcha comment "
@@ -96,6 +103,62 @@ def _kind(tag: str, attributes: str) -> tuple[bool, bool, bool]:
     return main, place, other
 
 
+@dataclass
+class Tag:
+    name: str
+    closing: bool
+    attributes: str
+    start: int
+    end: int
+
+
+def _tags(page: str) -> list[Tag]:
+    """What is no text: tags in order, other markup as tags without a name, raw text as part of its tags."""
+    tags: list[Tag] = []
+    foreign = 0
+    tokens = _TOKEN.finditer(page)
+    while (found := next(tokens, None)) is not None:
+        name = (found[2] or found[5] or "").lower()
+        tag = Tag(name, bool(found[1] or found[4]), found[3] or found[6] or "", found.start(), found.end())
+        tags.append(tag)
+        ended = tag.attributes.endswith("/")
+        if name in _FOREIGN and not ended:
+            foreign = max(0, foreign + (-1 if tag.closing else 1))
+        elif name in _RAW and not tag.closing and not (ended and foreign):
+            end = _RAW_END[name].search(page, tag.end)
+            tag.name, tag.end = "", end.end() if end else len(page)
+            tokens = _TOKEN.finditer(page, tag.end)
+    return tags
+
+
+def _closed(tags: list[Tag]) -> dict[int, int]:
+    """The place of the end tag for each start tag of a block or a skipped element that has one."""
+    ends: dict[int, int] = {}
+    opened: list[int] = []
+    counts: dict[str, int] = {}
+
+    def leave() -> int:
+        last = opened.pop()
+        counts[tags[last].name] -= 1
+        return last
+
+    for i, tag in enumerate(tags):
+        block = tag.name in _BLOCKS and tag.name not in _EMPTY
+        if not block and tag.name not in _SKIPPED:
+            continue
+        if not tag.closing:
+            if block and opened and tags[opened[-1]].name in _ENDED:
+                leave()
+            if tag.name not in _FOREIGN or not tag.attributes.endswith("/"):
+                opened.append(i)
+                counts[tag.name] = counts.get(tag.name, 0) + 1
+        elif counts.get(tag.name):
+            while tags[last := leave()].name != tag.name:
+                pass
+            ends[last] = i
+    return ends
+
+
 def cut(page: str) -> list[Block]:
     """The text blocks of a page in order."""
     blocks: list[Block] = []
@@ -125,13 +188,17 @@ def cut(page: str) -> list[Block]:
         linked = 0
 
     at = 0
-    for found in _TOKEN.finditer(page):
-        add(page[at : found.start()])
-        at = found.end()
-        if found[1]:
+    tags = _tags(page)
+    ends = _closed(tags)
+    for i, tag in enumerate(tags):
+        if tag.start < at:  # in an element that is skipped
+            continue
+        add(page[at : tag.start])
+        at = tag.end
+        name, closing = tag.name, tag.closing
+        if name in _SKIPPED and i in ends:
+            at = tags[ends[i]].end
             continue
-        name = (found[3] or found[6] or "").lower()
-        closing = bool(found[2] or found[5])
         if name == "a":
             in_link = not closing
         if name not in _BLOCKS:
@@ -142,16 +209,16 @@ def cut(page: str) -> list[Block]:
         if name in _EMPTY:
             continue
         if closing:
-            for i in range(len(opened) - 1, 0, -1):
-                if opened[i][0] == name:
-                    del opened[i:]
+            for k in range(len(opened) - 1, 0, -1):
+                if opened[k][0] == name:
+                    del opened[k:]
                     break
             continue
         heading = heading and name in _HEADINGS
-        if opened[-1][0] == "p":
+        if opened[-1][0] in _ENDED:
             opened.pop()
         _, was_main, was_place, was_other = opened[-1]
-        main, place, other = _kind(name, found[4] or found[7] or "")
+        main, place, other = _kind(name, tag.attributes)
         if name in _MAIN_TAGS:
             was_place = False  # what was left open before it
         if was_main and (name == "header" or place and not other and name not in _OTHER_TAGS):

@@ -260,6 +260,29 @@ def test_parts_of_a_page():
     ]
 
 
+@pytest.mark.parametrize(
+    "between",
+    ["<svg class='icon'/>", "<svg viewBox='0 0 1 1'><path d='M0'/></svg>", "<math display='block'/>", "<select><option>a<option>b",
+     "<select name=x>", "<object data=x>", "<audio src=x>", "<video src='x' controls>", "<canvas>", "<template>", "<svg><title/></svg>",
+     "<select><option>One<option>Two</select>", "<video>No video here.</video>", "<svg><title>Icon</title><text>9</text></svg>",
+     "<script src=x>var a = '<p>no</p>'</script>", "<svg/><svg><g/></svg>", "<textarea>typed <b></textarea>"],
+)
+def test_only_raw_text_reaches_to_the_end_of_the_page(between):
+    long = "Some words of the article that go on for a while, as they do. " * 3
+    page = f"<html><body><article><h1>Title</h1><p>{long}{between}</p><p>{long}</p>{between}<p>{long}</p></article></body></html>"
+    expected = ["Title"] + [long.strip()] * 3
+    got = html_extraction.extract_page(page, html_extraction.train()).split("\n")
+    assert [g for g in got if g not in ("a", "b")] == expected
+    assert html_extraction.extract_page(f"<p>{long}{between} {long}", html_extraction.train()).startswith(long.strip())
+
+
+def test_skipped_elements_do_not_cut_a_block_and_formulas_stay():
+    formula = "<math><semantics><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding='application/x-tex'>x=2</annotation></semantics></math>"
+    page = f"<article><p>We know <svg><text>no</text></svg>that {formula} holds<select><option>no</option></select> here.</p></article>"
+    assert html_extraction.extract_page(page, html_extraction.train()) == "We know that x=2 holds here."
+    assert html_extraction.extract_page("<p>one two</p><script>three", html_extraction.train()) == "one two"
+
+
 def test_page_without_named_parts():
     page = f"<div><a href=a>Home</a> <a href=b>News</a></div><h1>Head line</h1><p>{'word ' * 30}</p><p>Short</p><p>{'more ' * 40}"
     got = html_extraction.extract_page(page, html_extraction.train()).split("\n")
