@@ -56,6 +56,8 @@ _HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 #: Names of elements and words of their class, id and role that say what they hold.
 _OTHER_TAGS = frozenset("nav header footer aside form menu button dialog fieldset head option".split())
 _MAIN_TAGS = frozenset(("article", "main"))
+#: What they hold is no main part, articles inside included, if they are closed.
+_ASIDE_TAGS = frozenset(("aside", "footer", "nav"))
 _OTHER_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising advertorial alert banner breadcrumb breadcrumbs captcha comment "
     "comments consent contentinfo complementary cookie cookies dialog disclaimer discussion disqus form gdpr login "
@@ -166,8 +168,8 @@ def cut(page: str) -> list[Block]:
     linked = 0
     in_link = False
     heading = False
-    #: Open elements: name, whether main, whether something else for its place, whether at all events.
-    opened: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]
+    #: Open elements: name, whether main, whether something else for its place, whether at all events, whether aside.
+    opened: list[tuple[str, bool, bool, bool, bool]] = [("", False, False, False, False)]
 
     def add(text: str) -> None:
         nonlocal linked
@@ -181,7 +183,7 @@ def cut(page: str) -> list[Block]:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            _, main, place, other = opened[-1]
+            _, main, place, other, _ = opened[-1]
             words = text.count(" ") + 1
             blocks.append(Block(text, words, min(linked, words), heading, main, place or other))
         parts.clear()
@@ -217,13 +219,14 @@ def cut(page: str) -> list[Block]:
         heading = heading and name in _HEADINGS
         if opened[-1][0] in _ENDED:
             opened.pop()
-        _, was_main, was_place, was_other = opened[-1]
+        _, was_main, was_place, was_other, was_aside = opened[-1]
         main, place, other = _kind(name, tag.attributes)
         if name in _MAIN_TAGS:
-            was_place = False  # what was left open before it
+            was_place = was_aside  # not what was left open before it
         if was_main and (name == "header" or place and not other and name not in _OTHER_TAGS):
             place = False  # the article's own header
-        opened.append((name, was_main or main, was_place or place, was_other or other))
+        aside = was_aside or name in _ASIDE_TAGS and place and i in ends
+        opened.append((name, was_main or main, was_place or place, was_other or other, aside))
     add(page[at:])
     flush()
     return blocks
@@ -234,8 +237,9 @@ def describe(blocks: list[Block]) -> np.ndarray:
     words = np.array([0, *[b.words for b in blocks], 0], float)
     links = np.array([0, *[b.linked / b.words for b in blocks], 0], float)
     main = np.array([b.main for b in blocks], bool)
-    place = np.where(main, INSIDE, OUTSIDE) if main.any() else np.full(len(blocks), NO_MAIN)
     other = np.array([b.other for b in blocks], float)
+    has_main = (main & (other == 0)).any()  # a named part inside a sidebar or comments is not the page's
+    place = np.where(main, INSIDE, OUTSIDE) if has_main else np.full(len(blocks), NO_MAIN)
     heading = np.array([b.heading for b in blocks], float)
     return np.stack(
         [words[1:-1], links[1:-1], words[:-2], links[:-2], words[2:], links[2:], place, other, heading], axis=1

@@ -283,6 +283,31 @@ def test_skipped_elements_do_not_cut_a_block_and_formulas_stay():
     assert html_extraction.extract_page("<p>one two</p><script>three", html_extraction.train()) == "one two"
 
 
+TEASERS = [
+    "<aside><article class='teaser'><h3>Other story</h3><p>{0}</p></article><article><p>{0}</p></article></aside>",
+    "<nav><article><p>{0}</p></article></nav>", "<footer><div><article class='teaser'><p>{0}</p></article></div></footer>",
+    "<div id='sidebar'><ul><li class='post'>{0}</li><li class='post'>{0}</li></ul></div>",
+    "<div class='comments'><div class='entry'><p>{0}</p></div></div>", "<footer><div class='entry'>{0}</div></footer>",
+]
+
+
+@pytest.mark.parametrize("teasers", TEASERS)
+@pytest.mark.parametrize("name", ["id='content'", "class='text'"])
+def test_named_teasers_are_not_the_main_part(teasers, name):
+    long, short = "The body of the page has these words and goes on. " * 4, "Something else that readers of this may like. " * 3
+    body = f"<div {name}><h1>Head line</h1><p>{long}</p><p>{long}</p></div>"
+    for page in (body + teasers.format(short), teasers.format(short) + body):
+        got = html_extraction.extract_page(f"<html><body>{page}</body></html>", html_extraction.train())
+        assert got.split("\n") == ["Head line", long.strip(), long.strip()]
+
+
+def test_an_article_after_what_was_left_open():
+    long = "The body of the page has these words and goes on. " * 4
+    for left in ("<nav><a href=x>A</a>", "<aside><p>Some", "<footer>", "<div class='sidebar'>"):
+        page = f"<html><body>{left}<article><h1>Head line</h1><p>{long}</p></article></body></html>"
+        assert html_extraction.extract_page(page, html_extraction.train()).split("\n") == ["Head line", long.strip()]
+
+
 def test_page_without_named_parts():
     page = f"<div><a href=a>Home</a> <a href=b>News</a></div><h1>Head line</h1><p>{'word ' * 30}</p><p>Short</p><p>{'more ' * 40}"
     got = html_extraction.extract_page(page, html_extraction.train()).split("\n")
