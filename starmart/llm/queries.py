@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import byte_bpe, exact_dedup, html_extraction, language_id, mixing, near_dedup, quality, token_counts, topk, toxicity
+from starmart.llm import (
+    byte_bpe,
+    exact_dedup,
+    html_extraction,
+    language_id,
+    merkle,
+    mixing,
+    near_dedup,
+    quality,
+    token_counts,
+    topk,
+    toxicity,
+)
 from starmart.llm.columns import in_class
 from starmart.llm.shipping import ship_package
 from starmart.session import scratch_path
@@ -48,7 +60,8 @@ def _draw(*parts: str) -> str:
 ORACLES["op1_mixing"] = rf"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, coalesce(CAST(doc_id AS VARCHAR), 'null') AS id, coalesce('=' || source, 'null') AS key,
-    len(list_filter(string_split_regex(coalesce(text, ''), '[ 	-]+'), lambda x: x <> '')) AS n_words
+    len(list_filter(string_split_regex(coalesce(text, ''), '[ 	-
+]+'), lambda x: x <> '')) AS n_words
   FROM documents
 ), s AS (
   SELECT key, CAST(sum(n_words) AS BIGINT) AS t, count(*) AS n FROM d GROUP BY key
@@ -253,3 +266,81 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages")
     found = pages.select("page_id", "url", html_extraction.extract()("html").alias("text"))
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+#: CRC-32 (reflected polynomial EDB88320) of the decimal text of an id, unsigned, bit by bit.
+def _crc32(id: str) -> str:
+    byte = "list_reduce(range(8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, xor(c, b))"
+    text = f"CAST({id} AS VARCHAR)"
+    codes = f"list_transform(string_split({text}, ''), lambda x: CAST(ord(x) AS BIGINT))"
+    return f"xor(list_reduce({codes}, lambda c, b: {byte}, 4294967295), 4294967295)"
+
+
+@query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and the root that a tampered copy folds to."""
+    docs = read(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("string")  # no number of characters overflows
+    changed = merkle.leaf_of(*[more if c == "n_chars" else F.col(c) for c in fields])
+    tampered = F.when(in_class(F.col("doc_id"), 7, 0), changed)
+    found = merkle.manifest(docs, fields, carry={"tampered": tampered})
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        merkle.digest(merkle.siblings(F.col("path"))).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+_ENCODED = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR) END"
+
+
+def _leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(_ENCODED.format(c) for c in ('doc_id', 'source', 'lang', n_chars, 'text'))})"
+
+
+ORACLES["op12_merkle"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, {_leaf("n_chars")} AS leaf,
+    CASE WHEN {_crc32("doc_id")} % 7 = 0 THEN {_leaf("(n_chars + 1)")} ELSE {_leaf("n_chars")} END AS tampered
+  FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d
+), tree AS (
+  SELECT lang, 0 AS level, list(leaf ORDER BY pos) AS nodes FROM placed GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, list_transform(range(0, len(nodes), 2), lambda i: sha256(nodes[i + 1] || coalesce(nodes[i + 2], '')))
+  FROM tree WHERE len(nodes) > 1
+), subroots AS (
+  SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS pos FROM tree WHERE len(nodes) = 1
+), top AS (
+  SELECT 0 AS level, list(subroot ORDER BY pos) AS nodes FROM subroots
+  UNION ALL
+  SELECT level + 1, list_transform(range(0, len(nodes), 2), lambda i: sha256(nodes[i + 1] || coalesce(nodes[i + 2], '')))
+  FROM top WHERE len(nodes) > 1
+), steps AS (
+  SELECT p.doc_id, p.leaf, p.pos, 0 AS part, t.level, p.pos >> t.level AS place, t.nodes
+  FROM placed p JOIN tree t ON t.lang IS NOT DISTINCT FROM p.lang WHERE len(t.nodes) > 1
+  UNION ALL
+  SELECT p.doc_id, p.leaf, p.pos, 1, t.level, s.pos >> t.level, t.nodes
+  FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang, top t WHERE len(t.nodes) > 1
+), sides AS (
+  SELECT doc_id, leaf, pos, part, level,
+    CASE WHEN place % 2 = 1 THEN nodes[place] ELSE '' END AS l,
+    CASE WHEN place % 2 = 0 THEN coalesce(nodes[place + 2], '') ELSE '' END AS r
+  FROM steps
+), paths AS (
+  SELECT doc_id, leaf, pos, string_agg(l || r, '' ORDER BY part, level) AS sibs,
+    list({{'l': l, 'r': r, 'x': ''}} ORDER BY part, level) AS path FROM sides GROUP BY ALL
+)
+SELECT p.doc_id, p.leaf, s.subroot, (SELECT nodes[1] FROM top WHERE len(nodes) = 1) AS root,
+  sha256(coalesce(sibs, '')) AS proof_sha256,
+  list_reduce(coalesce(path, []), lambda a, x: {{'l': '', 'r': '', 'x': sha256(x.l || a.x || x.r)}}, {{'l': '', 'r': '', 'x': tampered}}).x AS folded_root,
+  folded_root = (SELECT nodes[1] FROM top WHERE len(nodes) = 1) AS verified
+FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang
+LEFT JOIN paths q ON q.doc_id IS NOT DISTINCT FROM p.doc_id AND q.leaf = p.leaf AND q.pos = p.pos
+"""
