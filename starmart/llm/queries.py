@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from starmart.llm import (
     byte_bpe,
+    decontamination,
     exact_dedup,
     html_extraction,
     language_id,
     merkle,
     mixing,
     near_dedup,
+    prefix_trie,
     quality,
     token_counts,
     topk,
@@ -268,6 +270,31 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+#: Turns of a conversation that its neighbours may take over, at most.
+HEAD = 5
+
+
+def rebuilt(turns: DataFrame) -> DataFrame:
+    """(conv_id, key, sizes) of every conversation c, from a turn table: the first h turns of conversation c - c % 100,
+    then c's own from the h-th on, with h = crc32(c) % 6."""
+    h = F.pmod(F.crc32(F.col("conv_id").cast("string")), F.lit(HEAD + 1)).cast("int")
+    turn = F.struct("pos", "id", "size")
+    heads = turns.filter(F.col("pos") < HEAD).groupBy(F.col("conv_id").alias("base")).agg(F.sort_array(F.collect_list(turn)).alias("head"))
+    own = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.when(F.col("pos") >= h, turn))).alias("tail"))
+    own = own.withColumn("base", F.col("conv_id") - F.col("conv_id") % 100)
+    joined = own.join(heads, "base", "left")
+    head = F.when(F.col("head").isNull(), F.slice("tail", 1, 0)).otherwise(F.slice("head", F.lit(1), h))
+    full = F.concat(head, F.col("tail"))
+    return joined.select("conv_id", prefix_trie.key_of(full).alias("key"), prefix_trie.sizes_of(full).alias("sizes"))
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of the rebuilt conversations, one row per node."""
+    turns = prefix_trie.turn_table(read(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(rebuilt(turns)).drop("turn_id")
+
+
 #: CRC-32 (reflected polynomial EDB88320) of the decimal text of an id, unsigned, bit by bit.
 def _crc32(id: str) -> str:
     byte = "list_reduce(range(8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, xor(c, b))"
@@ -344,3 +371,85 @@ SELECT p.doc_id, p.leaf, s.subroot, (SELECT nodes[1] FROM top WHERE len(nodes) =
 FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang
 LEFT JOIN paths q ON q.doc_id IS NOT DISTINCT FROM p.doc_id AND q.leaf = p.leaf AND q.pos = p.pos
 """
+
+
+ORACLES["op11_prefix_trie"] = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+    PARTITION BY conv_id
+    ORDER BY turn NULLS FIRST, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, {_crc32("conv_id")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t)
+), r AS (
+  SELECT c.conv_id, 0 AS part, t.i, t.role, t.text FROM c JOIN t ON t.conv_id = c.base AND t.i <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, t.i, t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id AND t.i > c.h
+), whole AS (
+  SELECT c.conv_id, coalesce(list({{'r': role, 't': text}} ORDER BY part, i) FILTER (role IS NOT NULL), []) AS s
+  FROM c LEFT JOIN r USING (conv_id) GROUP BY c.conv_id
+), member AS (
+  SELECT conv_id, len(s) AS n, unnest(range(len(s) + 1)) AS depth, s FROM whole
+), node AS (
+  SELECT s[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    string_agg(CASE WHEN depth = n THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id) AS ends
+  FROM member GROUP BY ALL
+), child AS (
+  SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY ALL
+), counted AS (
+  SELECT node.*, coalesce(n_children, 0) AS n_children,
+    CASE WHEN depth > 0 THEN (n_convs - 1) * length(path[depth].t) ELSE 0 END AS saved
+  FROM node LEFT JOIN child USING (path)
+), up AS (
+  SELECT path[1:d] AS path, sum(saved) AS saved, count(*) FILTER (n_children = 0) AS leaves
+  FROM (SELECT *, unnest(range(depth + 1)) AS d FROM counted) GROUP BY ALL
+)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, up.leaves AS n_leaves,
+  CAST(up.saved AS BIGINT) AS saved_tokens, sha256(coalesce(c.ends, '')) AS ends_sha256
+FROM counted c JOIN up USING (path) LEFT JOIN node p ON c.depth > 0 AND p.path = c.path[1:c.depth - 1]
+"""
+
+
+@query
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that are in a window of the benchmark, and the items that they are of."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    windows = decontamination.window_table(read(spark, sf_dir, "benchmark"))
+    found = decontamination.find_windows(docs, windows)
+    return found.select(
+        "doc_id",
+        "found.n_words",
+        decontamination.n_hit(F.col("found")).alias("n_hit"),
+        F.size("found.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256"),
+        (F.size("found.first") > 0).alias("contaminated"),
+    )
+
+
+_WORDS = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+ORACLES["op13_decontamination"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS ws FROM documents
+), i AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS ws FROM benchmark
+), w AS (
+  SELECT DISTINCT item, size, ws[k:k + size - 1] AS win
+  FROM (SELECT *, least(len(ws), 10) AS size, unnest(range(1, greatest(len(ws) - 8, 2))) AS k FROM i WHERE len(ws) > 0)
+), sizes AS (
+  SELECT DISTINCT size FROM w
+), place AS (
+  SELECT r, size, k, ws[k:k + size - 1] AS win
+  FROM (SELECT r, ws, size, unnest(range(1, len(ws) - size + 2)) AS k FROM d, sizes WHERE len(ws) >= size)
+), occurs AS (
+  SELECT r, k, place.size, item FROM place JOIN w ON w.size = place.size AND w.win = place.win
+), hit AS (
+  SELECT r, count(*) AS n FROM (SELECT DISTINCT r, unnest(range(k, k + size)) AS word FROM occurs) GROUP BY r
+), items AS (
+  SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY encode(item)) AS names FROM (SELECT DISTINCT r, item FROM occurs) GROUP BY r
+)
+SELECT doc_id, len(ws) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, hit.n IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
+"""
