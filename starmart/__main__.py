@@ -23,6 +23,8 @@ def main() -> None:
     parser.add_argument("--check-lines", action="store_true", help="check the key of the order lines too")
     parser.add_argument("--dense-keys", action="store_true", help="fact keys without holes (writes the fact twice)")
     parser.add_argument("--remove-old", action="store_true", help="delete replaced versions and scratch copies")
+    parser.add_argument("--by-year", action="store_true", help="a folder for each year of the fact")
+    parser.add_argument("--buckets", type=int, default=0, help="bucket orders and their lines by order id")
     options = parser.parse_args()
     spark = build_session()
     reports = build_warehouse(
@@ -33,6 +35,8 @@ def main() -> None:
         check_lines=options.check_lines,
         dense_keys=options.dense_keys,
         remove_old=options.remove_old,
+        by_year=options.by_year,
+        buckets=options.buckets,
     )
     for name, report in reports.items():
         print(name)

@@ -11,7 +11,7 @@ from starmart import mapping
 from starmart.plans.fact import Dimensions
 from starmart.plans.warehouse import load_dimensions, load_fact, load_staging
 from starmart.session import scratch_path
-from starmart.sources.tables import create_namespace
+from starmart.sources.tables import Layout, create_namespace, publish, write_version
 
 _BUILT: dict[tuple[str, str, str], object] = {}
 
@@ -90,3 +90,22 @@ def mart_from_files(spark: SparkSession, sf_dir: str) -> Mart:
         return Mart(namespace, tables, dims, load_fact(tables, dims, namespace))
 
     return _once(spark, sf_dir, "mart from files", build)
+
+
+#: Buckets of orders and lines.
+BUCKETS = 8
+
+
+def mart_by_year(spark: SparkSession, sf_dir: str) -> Mart:
+    """Orders and lines bucketed alike, and the fact in folders by year."""
+
+    def build() -> Mart:
+        tables = stand_ins(spark, sf_dir)
+        dims = dimensions(spark, sf_dir)[1]
+        namespace = new_namespace(spark, "by_year")
+        layout = Layout(("order_id",), BUCKETS)
+        written, _ = publish([write_version(tables[name], f"{namespace}.{name}", layout) for name in ("orders", "order_details")])
+        tables |= {name.rpartition(".")[2]: df for name, df in written.items()}
+        return Mart(namespace, tables, dims, load_fact(tables, dims, namespace, by_year=True, bucketed=True))
+
+    return _once(spark, sf_dir, "mart by year", build)

@@ -37,6 +37,7 @@ FACT_COLUMNS = [
     "freight_allocation",
 ]
 HEADER_COLUMNS = ["order_id", "customer_id", "order_date", "ship_via"]
+ORDER_YEAR = "order_year"
 LINE_COLUMNS = ["order_id", "product_id", "unit_price", "quantity", "discount"]
 
 
@@ -121,6 +122,48 @@ def fact_lines(
     return joined.withColumn("total_amount", amount).select(*FACT_COLUMNS, *extra)
 
 
+def line_orders(order_details: DataFrame, orders: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Order lines with their order's columns and ``line_count``, the lines that the order has.
+
+    For tables that are bucketed alike by order id: the count and both joins then go bucket by bucket, without a
+    shuffle.
+    """
+    lines = order_details.select(*LINE_COLUMNS, *extra, *_employee_column(order_details))
+    headers = orders.select(*HEADER_COLUMNS, "freight", *_employee_column(orders))
+    counted = headers.hint("merge").join(line_counts(lines), "order_id")
+    return lines.hint("merge").join(counted, "order_id")
+
+
+def fact_lines_by_bucket(order_details: DataFrame, orders: DataFrame, dims: Dimensions, extra: tuple[str, ...] = ()) -> DataFrame:
+    """The rows of ``fact_lines`` and each order's year, from tables that are bucketed alike by order id.
+
+    The join of lines with orders comes first, as long as both still lie in their buckets; keys are looked up per line.
+    """
+    lines = line_orders(order_details, orders, extra)
+    lines = lines.withColumns(
+        {
+            "freight_allocation": freight_share(F.col("freight"), F.col("line_count")),
+            "total_amount": line_amount(F.col("unit_price"), F.col("quantity"), F.col("discount")),
+            ORDER_YEAR: F.year("order_date"),
+        }
+    )
+    # _keyed_headers looks the employee up, by whichever of the two tables names them.
+    products = dims.product.select("product_id", "product_key")
+    keyed = _keyed_headers(lookup(lines, products, "product_id"), dims, "inner")
+    return keyed.select(*FACT_COLUMNS, ORDER_YEAR, *extra)
+
+
+def has_hot_orders(order_details: DataFrame, slice_rows: int = SLICE_ROWS) -> bool:
+    """Whether an order holds so many lines that they have to be spread over tasks, which buckets can't."""
+    return not hot_keys(key_counts(order_details, ["order_id"]), ["order_id"], slice_rows).isEmpty()
+
+
+def with_order_year(fact: DataFrame, dims: Dimensions) -> DataFrame:
+    """The fact with the year of each line's order."""
+    years = dims.time.select(F.col("time_key").alias("order_time_key"), F.col("year").alias(ORDER_YEAR))
+    return lookup(fact, years, "order_time_key").select(*fact.columns, ORDER_YEAR)
+
+
 def fact_orders(
     order_details: DataFrame, orders: DataFrame, dims: Dimensions, dense_keys: bool = False
 ) -> DataFrame:
