@@ -52,15 +52,37 @@ def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
 
 
 def orphan_counts(links: dict[str, tuple[DataFrame, str, DataFrame, str]]) -> DataFrame:
-    """(foreign_key, orphan_keys, orphan_rows) for each named link (child, key, parent, key)."""
-    parts = [
-        orphans(*link).agg(
-            F.lit(name).alias("foreign_key"),
-            F.count("*").alias("orphan_keys"),
-            F.coalesce(F.sum("rows"), F.lit(0)).alias("orphan_rows"),
-        )
-        for name, link in links.items()
-    ]
+    """(foreign_key, orphan_keys, orphan_rows) for each named link (child, key, parent, key).
+
+    Links of one child are checked in one scan of it: its keys are stacked as (name, value), counted in their tasks and
+    met by the stacked keys of all parents in one anti-join. Keys of a child that differ in type meet as text.
+    """
+    children: list[DataFrame] = []
+    for child, *_ in links.values():
+        if not any(child is known for known in children):
+            children.append(child)
+    parts = []
+    for child in children:
+        own = {name: link for name, link in links.items() if link[0] is child}
+        kinds = {df.schema[key].dataType.simpleString() for _, a, parent, b in own.values() for df, key in ((child, a), (parent, b))}
+        kind = kinds.pop() if len(kinds) == 1 else "string"
+
+        def pair(name: str, key: str, kind: str = kind) -> Column:
+            return F.struct(F.lit(name).alias("name"), F.col(key).cast(kind).alias("key"))
+
+        stacked = child.select(F.inline(F.array(*[pair(name, key) for name, (_, key, _, _) in own.items()])))
+        counted = stacked.filter(F.col("key").isNotNull()).groupBy("name", "key").agg(F.count("*").alias("rows"))
+        parents = reduce(DataFrame.unionByName, [parent.select(F.inline(F.array(pair(name, key)))) for name, (_, _, parent, key) in own.items()])
+        lost = counted.join(parents, ["name", "key"], "left_anti")
+        measures = []
+        for i, name in enumerate(own):
+            here = F.col("name") == name
+            measures += [F.count_if(here).alias(f"_k{i}"), F.coalesce(F.sum(F.when(here, F.col("rows"))), F.lit(0)).alias(f"_r{i}")]
+        entries = [
+            [F.lit(name).alias("foreign_key"), F.col(f"_k{i}").alias("orphan_keys"), F.col(f"_r{i}").alias("orphan_rows")]
+            for i, name in enumerate(own)
+        ]
+        parts.append(_rows_of(lost.agg(*measures), entries))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -144,6 +166,45 @@ def domain_values(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+#: Values that a column may have to be described by their list.
+LIST_VALUES = 60
+
+
+def column_domains(df: DataFrame, list_values: int = LIST_VALUES) -> DataFrame:
+    """(column_name, kind, value, rows, low, high): what values each column has, NULL left out.
+
+    A column of at most ``list_values`` distinct values is described by their list, with the rows of each (``list``); any
+    other by its least and greatest value (``bounds``); a column without values by none (``empty``). Values are given as
+    text. One pass makes sketches of the distinct values of all columns, of fixed size in every task; only columns whose
+    estimate is at most twice the limit are then counted, in a second pass, and the exact number decides.
+    """
+    named = {f.name: i for i, f in enumerate(df.schema.fields)}
+    measures = []
+    for name, i in named.items():
+        measures += [F.approx_count_distinct(name).alias(f"_n{i}"), F.min(name).cast("string").alias(f"_l{i}"), F.max(name).cast("string").alias(f"_h{i}")]
+    seen = df.agg(*measures).first()
+    likely = [name for name, i in named.items() if 0 < seen[f"_n{i}"] <= 2 * list_values]
+    values = domain_values(df.select(*[F.col(c).cast("string").alias(c) for c in likely]), likely) if likely else None
+    short = set()
+    if values is not None:
+        held = values.groupBy("column_name").agg(F.count("*").alias("_values"))
+        short = {r["column_name"] for r in held.filter(F.col("_values") <= list_values).collect()}
+    schema = "column_name string, kind string, value string, rows long, low string, high string"
+    rest = [
+        (name, "bounds" if seen[f"_l{i}"] is not None else "empty", None, None, seen[f"_l{i}"], seen[f"_h{i}"])
+        for name, i in named.items()
+        if name not in short
+    ]
+    found = df.sparkSession.createDataFrame(rest, schema)
+    if not short:
+        return found
+    text = F.lit(None).cast("string")
+    lists = values.filter(F.col("column_name").isin(*short)).select(
+        "column_name", F.lit("list").alias("kind"), "value", "rows", text.alias("low"), text.alias("high")
+    )
+    return lists.unionByName(found)
+
+
 def issue_counts(issues: dict[str, tuple[DataFrame, Column]]) -> DataFrame:
     """(issue, rows) for each named issue (frame, condition). Issues of one frame share its scan."""
     frames: list[DataFrame] = []

@@ -7,6 +7,29 @@ from pyspark.sql import functions as F
 
 from starmart.operators.joins import SLICE_ROWS, join_sliced
 
+#: Equal rows that one task writes out at a time.
+COPY_ROWS = 50_000
+
+
+def number_copies(df: DataFrame, copies: str, number: str, copy_rows: int = COPY_ROWS) -> DataFrame:
+    """Each row as often as its ``copies`` says, numbered from 0 under ``number``; the count goes.
+
+    A count of more than ``copy_rows`` is cut into ranges first, which are dealt over all tasks before they are written
+    out, so that no task and no array holds the copies of one row.
+    """
+    columns = [c for c in df.columns if c != copies]
+    count, size = F.col(copies), F.lit(copy_rows).cast("long")
+
+    def listed(rows: DataFrame, first: Column, last: Column) -> DataFrame:
+        return rows.select(*columns, F.explode(F.sequence(first, last)).alias(number))
+
+    few = listed(df.filter(count <= size), F.lit(0).cast("long"), count - 1)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = df.filter(count > size)
+    many = many.select("*", F.posexplode(F.sequence(F.lit(0).cast("long"), count - 1, size)).alias("_from_range", "_from"))
+    many = many.repartition(tasks, F.col("_from_range"))  # with a number, so that the few rows are not put together again
+    return few.unionByName(listed(many, F.col("_from"), F.least(F.col("_from") + size, count) - 1))
+
 
 def _place(df: DataFrame, compared: list[str], order: str) -> Column:
     """What sorts the rows of a group: the order (NULL last), then the other columns."""
@@ -34,20 +57,20 @@ def flag_duplicates(
     status: str = "duplicate_status",
     chosen: str | None = None,
     slice_rows: int = SLICE_ROWS,
+    copy_rows: int = COPY_ROWS,
 ) -> DataFrame:
     """Every row, marked ``unique``, ``chosen`` (first of its group) or ``duplicate``.
 
     The first row is the one with the least ``order`` (NULL last); ties go by content, and of rows that are equal
     in every column exactly one is chosen. ``chosen`` names an optional column with the order value of the chosen
     row (NULL if unique). Equal rows are counted in their tasks before anything is shuffled; what is left of a large
-    group meets the group's first row in slices.
+    group meets the group's first row in slices, and the copies of one row are written out by all tasks.
     """
     same = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
     same = same.select("*", F.struct(*compared).alias("_key"), _place(df, compared, order).alias("_place"))
     groups = same.groupBy("_key").agg(F.sum("_copies").alias("_rows"), F.min("_place").alias("_first"))
     joined = join_sliced(same, groups, ["_key"], slice_rows=slice_rows)
-    copy = F.posexplode(F.sequence(F.lit(1), F.col("_copies"))).alias("_nth", "_unused")
-    marked = joined.select("*", copy)
+    marked = number_copies(joined, "_copies", "_nth", copy_rows)
     first = (F.col("_place") == F.col("_first")) & (F.col("_nth") == 0)
     mark = F.when(F.col("_rows") == 1, "unique").when(first, "chosen").otherwise("duplicate")
     extra = [mark.alias(status)]

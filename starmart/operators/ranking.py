@@ -19,15 +19,37 @@ def share_of(df: DataFrame, value: str, within: list[str], name: str, digits: in
     return df.withColumn(name, percent(F.col(value), total, digits))
 
 
-def rank_descending(df: DataFrame, value: str, key: str, name: str) -> DataFrame:
-    """Add the rank by descending value over the whole frame; equal values share a rank, with gaps.
+#: Ranges into which the values of a ranking are dealt.
+RANK_RANGES = 200
 
-    ``key`` must be unique. The rows are numbered over the cluster and each value takes its lowest number.
+
+def rank_descending(df: DataFrame, value: str, key: str, name: str, ranges: int = RANK_RANGES) -> DataFrame:
+    """Add the rank by descending value over the whole frame; equal values share a rank, with gaps; NULL comes first.
+
+    ``value`` is a number, date or timestamp; ``key`` only names the rows. Rows are counted by value before anything is
+    shuffled. The distinct values are dealt into ranges of about equal numbers by bounds that one pass estimates (the
+    bounds move work, never ranks); a value's rank is one more than the rows of higher ranges and of higher values in its
+    own, sums over a table of at most ``ranges`` + 1 rows and over one range. Rows meet their value's rank in one lookup,
+    where adaptive execution broadcasts the values if they are few and else splits the rows of a frequent one.
     """
-    numbered = dense_key(df, [F.col(value).desc_nulls_first(), F.col(key)], "_number")
-    ranks = numbered.groupBy(F.col(value).alias("_value")).agg(F.min("_number").alias(name))
-    ranked = numbered.join(ranks, F.col(value).eqNullSafe(F.col("_value")))
-    return ranked.select(*df.columns, name)
+    counts = df.groupBy(F.col(value).alias("_value")).agg(F.count("*").alias("_rows"))
+    shares = [i / ranges for i in range(1, ranges)]
+    bounds = counts.agg(F.percentile_approx("_value", shares, F.lit(10 * ranges))).first()[0]
+    if bounds:
+        bounds = F.array(*[F.lit(b) for b in sorted(set(bounds))])
+        higher = F.size(F.filter(bounds, lambda b: b >= F.col("_value")))
+    else:
+        higher = F.lit(0)
+    ranged = counts.withColumn("_range", F.when(F.col("_value").isNull(), -1).otherwise(higher))
+    # The further a range is down, the fewer bounds are at or above its values: the order is that of falling values.
+    inside = Window.partitionBy("_range").orderBy(F.col("_value").desc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("_range").agg(F.sum("_rows").alias("_sum"))
+    offsets = offsets.select("_range", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    placed = ranged.withColumn("_inside", F.coalesce(F.sum("_rows").over(inside), F.lit(0)))
+    rank = (F.col("_before") + F.col("_inside") + 1).alias(name)
+    ranks = placed.join(F.broadcast(offsets), "_range").select("_value", rank)
+    return df.join(ranks, F.col(value).eqNullSafe(F.col("_value"))).select(*df.columns, name)
 
 
 def top(df: DataFrame, order_by: list[Column], k: int) -> DataFrame:

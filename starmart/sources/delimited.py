@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -181,6 +182,57 @@ def infer_schema(spark: SparkSession, path: str, rows: int | None = None) -> T.S
     )
 
 
+UNION, SAME = "union", "same"
+#: Kinds of values from the narrowest to the widest; a text fits every column.
+_LATTICE = ("int", "long", "double", "string")
+
+
+def headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files below these paths by their header, the first line that is neither blank nor a comment; all in one scan."""
+    text = F.decode(F.col("value").cast("binary"), DIALECT["encoding"])
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), text.alias("line"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    wanted = (F.btrim("line", F.lit(WHITE_SPACE)) != "") & ~F.startswith("line", F.lit(DIALECT["comment"]))
+    first = lines.filter(wanted).groupBy("file").agg(F.min_by("line", F.struct("start", "row")).alias("line"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for line, files in first.groupBy("line").agg(F.sort_array(F.collect_list("file"))).collect():
+        (names,) = csv.reader([line], delimiter=DIALECT["sep"], quotechar=DIALECT["quote"])
+        found.setdefault(tuple(n.strip(WHITE_SPACE) for n in names), []).extend(files)
+    return dict(sorted(found.items()))
+
+
+def scan_merged(spark: SparkSession, paths: str | list[str], mode: str = UNION, strict: bool = True) -> DataFrame:
+    """Rows of files whose headers may differ: every column that any file has, NULL in the rows of files without it.
+
+    A column that several files have takes the widest kind that its values need, from int over long and double to text,
+    judged over all rows of all files; a column without any value is text. ``mode`` "same" fails instead where headers
+    differ in their columns; their order never matters. Files of one header are one scan. A header that repeats or
+    lacks a name fails. ``strict`` is that of ``scan_delimited``.
+    """
+    groups = headers(spark, [paths] if isinstance(paths, str) else paths)
+    if not groups:
+        raise ValueError(f"no file with a header below {paths}")
+    for header in groups:
+        if len(set(header)) < len(header) or "" in header:
+            raise ValueError(f"a header repeats a name or lacks one: {';'.join(header)}")
+    if mode == SAME and len({frozenset(header) for header in groups}) > 1:
+        raise ValueError(f"headers differ: {[';'.join(header) for header in groups]}")
+    scans = [scan_delimited(spark, files, struct_of(dict.fromkeys(header, "string")), strict) for header, files in groups.items()]
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+    names = [c for c in whole.columns if c != CORRUPT]
+    types = {"int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType()}
+    fits = [
+        F.every(as_number(F.col(name), kind).isNotNull() | F.col(name).isNull()).alias(f"{i}_{label}")
+        for i, name in enumerate(names)
+        for label, kind in types.items()
+    ]
+    seen = whole.agg(*fits, *[F.count(name).alias(f"{i}_values") for i, name in enumerate(names)]).first()
+    chosen = {n: next((k for k in _LATTICE[:-1] if seen[f"{i}_values"] and seen[f"{i}_{k}"]), "string") for i, n in enumerate(names)}
+    return whole.withColumns({n: as_number(F.col(n), types[k]) for n, k in chosen.items() if k in types})
+
+
 def write_delimited(df: DataFrame, path: str) -> None:
     """Write a frame in the dialect of the source files."""
     options = {k: v for k, v in DIALECT.items() if k not in ("comment", "nullValue", "emptyValue")}
