@@ -196,6 +196,36 @@ ORACLES: dict[str, str] = {
       CASE WHEN copy = 1 THEN 'duplicate key' END) AS write_error
     FROM copies WHERE size = 7 OR copy = 1""",
     ),
+    "admitted_batch": _sql(
+        SAME_KEY_COPIES,
+        select="""
+    , sent AS (
+      SELECT product_id, CASE WHEN size <> 7 THEN product_name END AS product_name,
+        price_cents * (CASE WHEN size = 5 THEN 2 ELSE 1 END) AS cents, copy FROM copies),
+    judged AS (
+      SELECT *, concat_ws('; ', CASE WHEN product_name IS NULL THEN 'no product_name' END,
+        CASE WHEN length(product_name) > 9 THEN 'product_name too long' END,
+        CASE WHEN cents > 99999 THEN 'unit_price out of range' END) AS error FROM sent),
+    first AS (SELECT * FROM judged WHERE product_id % 3 = 0 AND copy = 0),
+    second AS (
+      SELECT * REPLACE (concat_ws('; ', nullif(error, ''), CASE WHEN copy = 1 THEN 'duplicate key' END,
+        CASE WHEN product_id IN (SELECT product_id FROM first WHERE error = '') THEN 'key exists' END) AS error) FROM judged)
+    SELECT product_id, product_name, CAST(cents AS DOUBLE) / 100 AS unit_price, copy,
+      CASE WHEN error <> '' THEN batch END AS batch, nullif(error, '') AS write_error, error = '' AS held
+    FROM (SELECT *, 'first' AS batch FROM first UNION ALL SELECT *, 'second' FROM second)""",
+    ),
+    "published_sets": """
+    SELECT state, table_name, id FROM (
+      SELECT 'orders' AS table_name, o_orderkey AS id FROM orders UNION ALL SELECT 'customers', c_custkey FROM customer),
+      (VALUES ('first, read while the second is there', 2), ('after a lost load', 2), ('second', 1)) AS s(state, every)
+    WHERE id % every = 0""",
+    "merged_files": """
+    SELECT CASE WHEN p_partkey % 3 = 1 THEN p_partkey + 5000000000 ELSE p_partkey END AS ProductID,
+      CASE p_partkey % 3 WHEN 0 THEN CAST(p_retailprice AS DOUBLE) WHEN 2 THEN trunc(p_retailprice) END AS UnitPrice,
+      CASE p_partkey % 3 WHEN 0 THEN CAST(p_size AS VARCHAR) WHEN 2 THEN p_size || ' cm' END AS Size,
+      CASE WHEN p_partkey % 3 = 1 THEN p_brand END AS Brand, CASE WHEN p_partkey % 3 = 2 THEN 'a; b' END AS Note,
+      'Brand:string,Note:string,ProductID:bigint,Size:string,UnitPrice:double' AS kinds
+    FROM part""",
     "exclude_columns": _sql(
         PLACES, select="SELECT c_custkey AS customer_id, c_name AS company_name, n_name AS country FROM places"
     ),
@@ -311,6 +341,17 @@ ORACLES: dict[str, str] = {
         *STAR,
         select=f"SELECT order_id, line_number, product_id, {_money('freight')} AS freight_allocation FROM sales",
     ),
+    "orders_by_rollup": _sql(
+        *STAR,
+        select="""
+    SELECT concat_ws(',', CASE WHEN grouping(n_name) = 0 THEN 'country' END, CASE WHEN grouping(year) = 0 THEN 'year' END,
+        CASE WHEN grouping(p_type) = 0 THEN 'category_name' END) AS grouped_by,
+      n_name AS country, year, p_type AS category_name, count(DISTINCT order_id) AS orders
+    FROM (
+      SELECT s.order_id, n_name, CAST(year(order_date) AS INTEGER) AS year, p_type FROM sales s
+      JOIN customer ON c_custkey = customer_id JOIN nation ON n_nationkey = c_nationkey JOIN part ON p_partkey = product_id)
+    GROUP BY CUBE (n_name, year, p_type)""",
+    ),
     "fact_orders": _sql(
         *STAR,
         select=f"""
@@ -581,6 +622,28 @@ ORACLES: dict[str, str] = {
     SELECT 'region' AS column_name, dirty_region AS value, count(*) AS rows FROM places GROUP BY ALL
     UNION ALL SELECT 'country', n_name, count(*) FROM places GROUP BY ALL""",
     ),
+    "column_domains": _sql(
+        COPIES,
+        select="""
+    , sized AS (SELECT * REPLACE (CASE WHEN size <> 7 THEN size END AS size) FROM copies),
+    long AS (
+      SELECT column_name, value, sort FROM (
+        SELECT unnest([
+          {'c': 'product_id', 'v': CAST(product_id AS VARCHAR), 's': CAST(product_id AS DOUBLE)},
+          {'c': 'product_name', 'v': product_name, 's': NULL}, {'c': 'brand', 'v': brand, 's': NULL},
+          {'c': 'category_name', 'v': category_name, 's': NULL}, {'c': 'size', 'v': CAST(size AS VARCHAR), 's': size},
+          {'c': 'unit_price', 'v': CAST(CAST(price_cents AS DOUBLE) / 100 AS VARCHAR), 's': price_cents},
+          {'c': 'copy', 'v': CAST(copy AS VARCHAR), 's': copy}]) AS x FROM sized),
+        LATERAL (SELECT x.c AS column_name, x.v AS value, x.s AS sort) WHERE value IS NOT NULL),
+    counted AS (SELECT column_name, value, count(*) AS rows FROM long GROUP BY ALL),
+    kinds AS (SELECT column_name, count(*) <= 49 AS short FROM counted GROUP BY column_name)
+    SELECT column_name, 'list' AS kind, value, rows, CAST(NULL AS VARCHAR) AS low, CAST(NULL AS VARCHAR) AS high
+    FROM counted JOIN kinds USING (column_name) WHERE short
+    UNION ALL
+    SELECT column_name, 'bounds', NULL, NULL, coalesce(arg_min(value, sort), min(value)), coalesce(arg_max(value, sort), max(value))
+    FROM long JOIN kinds USING (column_name) WHERE NOT short GROUP BY column_name
+    UNION ALL SELECT 'nothing', 'empty', NULL, NULL, NULL, NULL""",
+    ),
     "issue_counts": _sql(
         LINES,
         HEADERS,
@@ -595,3 +658,6 @@ ORACLES: dict[str, str] = {
     UNION ALL SELECT 'null text', count(*) FILTER (dirty_region = 'NULL') FROM places""",
     ),
 }
+
+_YEAR = "AS freight_allocation, CAST(year(order_date) AS INTEGER) AS order_year"
+ORACLES["fact_by_year"] = ORACLES["fact_orders"].replace("AS freight_allocation", _YEAR)

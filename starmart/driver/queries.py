@@ -3,28 +3,31 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart import mapping
-from starmart.driver.marts import dimensions, mart, mart_from_files, new_namespace, source_file
+from starmart.driver.marts import dimensions, mart, mart_by_year, mart_from_files, new_namespace, source_file
 from starmart.functions.dates import ORDER_DATE_PATTERN, day_number, parse_date
 from starmart.functions.numbers import freight_share, line_amount, repaired_discount
 from starmart.functions.text import blank_token, normalise, null_token
-from starmart.operators import checks, columns
+from starmart.operators import bitmaps, checks, columns
 from starmart.operators.duplicates import dedupe_first, flag_duplicates
 from starmart.operators.filters import first_match, keep_present, keep_where
 from starmart.operators.joins import existing, join_sliced
 from starmart.operators.keys import dense_key
 from starmart.operators.ranking import rank_descending
 from starmart.plans import contracts, reports, staging
-from starmart.plans.fact import FACT_COLUMNS, Dimensions, dropped_lines, fact_lines, line_counts
+from starmart.plans.admission import admit_batch, refused_name
+from starmart.plans.fact import FACT_COLUMNS, ORDER_YEAR, Dimensions, dropped_lines, fact_lines, line_counts
 from starmart.plans.fact import fact_orders as fact_orders_with_key
 from starmart.session import scratch_path
 from starmart.sources import raw_schemas, tables
-from starmart.sources.delimited import CORRUPT, infer_schema, scan_delimited, write_delimited
+from starmart.sources.delimited import CORRUPT, infer_schema, scan_delimited, scan_merged, write_delimited
+from starmart.sources.manifest import TableSet
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -186,6 +189,81 @@ def refused_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refused.select("product_id", "copy", "write_error")
 
 
+#: What the admitted products must meet.
+PRODUCT_RULES = contracts.Contract(
+    ["product_id"], ["product_name"], lengths={"product_name": 9}, types={"unit_price": "decimal(5,2)"}
+)
+
+
+@query
+def admitted_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of products, the second sent twice: the rows that the table holds, and the refused ones.
+
+    The second batch has keys of the first, keys that repeat, names that are missing or too long, and prices that
+    don't fit.
+    """
+    rows = mapping.copied_products(spark, sf_dir, same_key=True).select(
+        "product_id",
+        F.when(F.col("size") != 7, F.col("product_name")).alias("product_name"),
+        (F.col("unit_price") * F.when(F.col("size") == 5, 2).otherwise(1)).cast("decimal(10,2)").alias("unit_price"),
+        "copy",
+    )
+    tables_here = TableSet(spark, scratch_path(spark, "admission"))
+    admit_batch(tables_here, "products", rows.filter("product_id % 3 = 0 AND copy = 0"), "first", PRODUCT_RULES, "copy")
+    for again in (False, True):
+        outcome = admit_batch(tables_here, "products", rows, "second", PRODUCT_RULES, "copy")
+        if outcome.again != again:
+            raise RuntimeError(f"the batch was admitted as {outcome}")
+    state = tables_here.state()
+    text = F.lit(None).cast("string")
+    held = tables_here.read("products", state).withColumns({"batch": text, "write_error": text})
+    refused = tables_here.read(refused_name("products"), state)
+    return held.unionByName(refused).withColumn("held", F.col("batch").isNull())
+
+
+@query
+def published_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and customers of a table set that is refreshed twice, with a load between that dies before its commit."""
+    whole = {
+        "orders": mapping.orders(spark, sf_dir).select(F.col("order_id").alias("id")),
+        "customers": mapping.customers(spark, sf_dir).select(F.col("customer_id").alias("id")),
+    }
+    tables_here = TableSet(spark, scratch_path(spark, "sets"))
+    first = tables_here.replace({name: df.filter("id % 2 = 0") for name, df in whole.items()})
+    for name, df in whole.items():
+        tables_here.stage(df.filter("id % 3 = 0"), name)
+    lost = tables_here.state()
+    last = tables_here.replace(whole)
+    shown = {"first, read while the second is there": first, "after a lost load": lost, "second": last}
+    rows = [
+        tables_here.read(name, state).select(F.lit(label).alias("state"), F.lit(name).alias("table_name"), "id")
+        for label, state in shown.items()
+        for name in whole
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query
+def merged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products from three files whose headers, and whose kinds of values, differ."""
+    products = mapping.copied_products(spark, sf_dir).filter("copy = 0")
+    key, price = F.col("product_id"), F.col("unit_price")
+    files = {
+        "a": (products.filter("product_id % 3 = 0"), {"ProductID": key, "UnitPrice": price, "Size": F.col("size")}),
+        "b": (products.filter("product_id % 3 = 1"), {"Brand": F.col("brand"), "ProductID": key + 5_000_000_000}),
+        "c": (
+            products.filter("product_id % 3 = 2"),
+            {"UnitPrice": price.cast("int"), "Size": F.concat("size", F.lit(" cm")), "ProductID": key, "Note": F.lit("a; b")},
+        ),
+    }
+    folder = scratch_path(spark, "merged")
+    for name, (rows, named) in files.items():
+        write_delimited(rows.select(*[c.alias(n) for n, c in named.items()]), f"{folder}/{name}.csv")
+    found = scan_merged(spark, [f"{folder}/{name}.csv" for name in files])
+    kinds = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in sorted(found.schema.fields, key=lambda f: f.name))
+    return found.withColumn("kinds", F.lit(kinds))
+
+
 # Columns
 
 
@@ -346,6 +424,26 @@ def fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mart(spark, sf_dir).fact.select(*FACT_COLUMNS)
 
 
+@query
+def fact_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact in folders by year, from orders and lines that are joined in their buckets."""
+    return mart_by_year(spark, sf_dir).fact.select(*FACT_COLUMNS, ORDER_YEAR)
+
+
+@query
+def orders_by_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by country, year and category and by every coarser grouping, from one set of bitmaps."""
+    built = mart(spark, sf_dir)
+    numbers = dense_key(built.fact.select("order_id").distinct(), ["order_id"], "number")
+    lines = built.fact.groupBy("order_id", "customer_key", "order_time_key", "product_key").agg(F.count("*").alias("lines"))
+    placed = lines.join(numbers, "order_id").join(built.dims.customer.select("customer_key", "country"), "customer_key")
+    placed = placed.join(built.dims.time.select(F.col("time_key").alias("order_time_key"), "year"), "order_time_key")
+    placed = placed.join(built.dims.product.select("product_key", "category_name"), "product_key")
+    names = ["country", "year", "category_name"]
+    sets = [[n for i, n in enumerate(names) if mask >> i & 1] for mask in range(8)]
+    return bitmaps.rolled_up(bitmaps.distinct_bitmaps(placed, names, "number"), sets, "orders")
+
+
 @query
 def fact_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dense fact key runs from 1 to the number of lines without a gap."""
@@ -555,6 +653,14 @@ def domain_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.domain_values(mapping.dirty_customers(spark, sf_dir), ["region", "country"])
 
 
+@query
+def column_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists or bounds of the values of every column of the products."""
+    products = mapping.copied_products(spark, sf_dir)
+    mixed = products.withColumns({"unit_price": F.col("unit_price").cast("double"), "nothing": F.lit(None).cast("int")})
+    return checks.column_domains(mixed.withColumn("size", F.when(F.col("size") != 7, F.col("size"))), list_values=49)
+
+
 @query
 def issue_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = mapping.dirty_order_details(spark, sf_dir)
