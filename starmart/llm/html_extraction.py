@@ -70,6 +70,20 @@ _PLACE_WORDS = frozenset("footer foot header masthead nav navbar menu sidebar si
 _MAIN_WORDS = frozenset("article content entry main post story text body page container wrapper layout hentry".split())
 _TEXT_WORDS = frozenset("article entry main post story hentry".split())
 _WITHOUT = frozenset(("has", "with", "no", "without"))
+#: Of the words above, those that also name what articles are about. They say it only in a name made of such words and
+#: of words for parts of a page, and not as the id of a section, heading or paragraph of the main part.
+_AMBIGUOUS = frozenset(
+    "alert complementary dialog discussion form notice notices overlay promotion recommended related replies reply "
+    "respond search share sharing skip social tags".split()
+)
+_NEUTRAL = frozenset(
+    "area bar block blog box btn button buttons col column container content entry group holder icon icons inner item "
+    "items js link links list main module news outer panel post posts article articles row section site story text title "
+    "top bottom left right unit user view wrap wrapper zone".split()
+)
+_SECTIONS = frozenset("section p h1 h2 h3 h4 h5 h6 li dt dd table figure blockquote pre".split())
+#: A form that holds at least this share of the page's characters is no form, but what the page is written in.
+WIDE_FORM = 0.5
 
 INSIDE, OUTSIDE, NO_MAIN = 1, -1, 0
 
@@ -84,7 +98,15 @@ class Block:
     other: bool
 
 
-def _kind(tag: str, attributes: str) -> tuple[bool, bool, bool]:
+def _says_other(parts: set[str], ambiguous_counts: bool) -> bool:
+    """Whether the words of a name say that an element is something else than main text."""
+    said = parts & _OTHER_WORDS
+    if said - _AMBIGUOUS:
+        return True
+    return bool(said) and ambiguous_counts and parts <= _OTHER_WORDS | _PLACE_WORDS | _NEUTRAL
+
+
+def _kind(tag: str, attributes: str, in_main: bool = False) -> tuple[bool, bool, bool]:
     """Whether an element is named as main, as something else for its place, and as something else at all events."""
     main, place, other = tag in _MAIN_TAGS, tag in _OTHER_TAGS, False
     if attributes and tag not in ("html", "body"):
@@ -99,7 +121,7 @@ def _kind(tag: str, attributes: str) -> tuple[bool, bool, bool]:
                     parts = {w.lower() for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])", one)}
                     if parts & _WITHOUT:
                         continue
-                    other |= bool(parts & _OTHER_WORDS)
+                    other |= _says_other(parts, not (in_main and name == "id" and tag in _SECTIONS))
                     place |= bool(parts & _PLACE_WORDS) and not parts & _MAIN_WORDS
                     main |= bool(parts & _TEXT_WORDS) and not parts & (_PLACE_WORDS | _OTHER_WORDS)
     return main, place, other
@@ -161,6 +183,20 @@ def _closed(tags: list[Tag]) -> dict[int, int]:
     return ends
 
 
+def _wide_forms(tags: list[Tag], ends: dict[int, int], page: str) -> set[int]:
+    """The start tags of forms that hold most of the page."""
+    if not any(t.name == "form" for t in tags):
+        return set()
+    before, total, at = [], 0, 0
+    for tag in tags:
+        total += len(page[at : tag.start].strip())
+        before.append(total)
+        at = tag.end
+    total += len(page[at:].strip())
+    starts = [i for i, t in enumerate(tags) if t.name == "form" and not t.closing]
+    return {i for i in starts if total and (before[ends[i]] if i in ends else total) - before[i] >= WIDE_FORM * total}
+
+
 def cut(page: str) -> list[Block]:
     """The text blocks of a page in order."""
     blocks: list[Block] = []
@@ -192,6 +228,7 @@ def cut(page: str) -> list[Block]:
     at = 0
     tags = _tags(page)
     ends = _closed(tags)
+    wide = _wide_forms(tags, ends, page)
     for i, tag in enumerate(tags):
         if tag.start < at:  # in an element that is skipped
             continue
@@ -220,7 +257,7 @@ def cut(page: str) -> list[Block]:
         if opened[-1][0] in _ENDED:
             opened.pop()
         _, was_main, was_place, was_other, was_aside = opened[-1]
-        main, place, other = _kind(name, tag.attributes)
+        main, place, other = _kind("div", "") if i in wide else _kind(name, tag.attributes, was_main)
         if name in _MAIN_TAGS:
             was_place = was_aside  # not what was left open before it
         if was_main and (name == "header" or place and not other and name not in _OTHER_TAGS):

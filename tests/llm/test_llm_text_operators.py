@@ -342,3 +342,32 @@ def test_pages_equal_their_articles(spark):
         blocks = [" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:p|h1|br)>", article)]
         assert got[page.page_id].text == "\n".join(b for b in blocks if b)
         assert got[page.page_id].n_chars == len(got[page.page_id].text)
+
+
+LONG = "The river carries what the hills have lost, and every spring the fields along it are new. " * 3
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body><form id='aspnetForm' action='x'><h1>Title</h1><p>{}</p><p>{}</p></form></body>",
+        "<body><form method=post><article><h1>Title</h1><p>{}</p><p>{}</p></article></form></body>",
+        "<article><h1>Title</h1><p>{}</p><section id='discussion'><p>{}</p></section></article>",
+        "<article><h1>Title</h1><p>{}</p><section id='related-work'><p>{}</p></section></article>",
+        "<main><h1>Title</h1><p class='social-security'>{}</p><p id='search-algorithms'>{}</p></main>",
+    ],
+)
+def test_names_and_forms_that_hold_the_article(page):
+    text = " ".join(LONG.split())
+    assert html_extraction.extract_page(page.format(LONG, LONG), html_extraction.train()).split("\n") == ["Title", text, text]
+
+
+@pytest.mark.parametrize("name", ["related", "related-posts", "post-comments", "share-buttons", "search-box", "notice", "reply-list", "cookie-law-info"])
+def test_names_that_still_say_something_else(name):
+    page = f"<article><h1>Title</h1><p>{LONG}</p><div class='{name}'><p>{LONG}</p></div><div id='{name}'><p>{LONG}</p></div></article>"
+    assert html_extraction.extract_page(page, html_extraction.train()).split("\n") == ["Title", " ".join(LONG.split())]
+
+
+def test_a_form_beside_the_article_is_a_form():
+    page = f"<main><h1>Title</h1><p>{LONG}</p><form><p>Write to us about this and we will answer</p><input></form></main>"
+    assert html_extraction.extract_page(page, html_extraction.train()).split("\n") == ["Title", " ".join(LONG.split())]
