@@ -4,6 +4,9 @@ The index is a table bucketed and sorted by digest. New rows are reduced to one
 the index holds already are taken away by a sort-merge anti-join that reads the index in its buckets, and the
 rest is appended. Everything is DataFrame functions; texts are read once and only their digests are shuffled.
 
+A table is admitted in batches by falling id, so that the row that stays of each text is in the first batch that has it
+and later batches find its digest in the index.
+
 A null text counts as empty. Texts are equal when they are identical after lower-casing A-Z. Of equal texts the
 one with the largest id stays, but a text that the index already held stays with the id it had then. Rows with a
 null id are never preferred to others. Rows that repeat the same id and text count as one document, and
@@ -19,7 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.llm.columns import ascii_lower, join_groups
-from starmart.session import scratch_path
+from starmart.session import check_warehouse_place, scratch_path
+from starmart.sources.tables import buckets_of
 
 
 def digest_of(text: Column) -> Column:
@@ -38,14 +42,23 @@ def digests(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataF
 class DigestIndex:
     """A table of digests: (digest, keep_id, keep_rows, group_size), bucketed and sorted by digest."""
 
-    def __init__(self, spark: SparkSession, name: str, buckets: int | None = None):
-        self._spark, self.name = spark, name
-        self._buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    def __init__(self, spark: SparkSession, name: str, buckets: int | None = None, path: str | None = None):
+        """An index that is there, with the buckets it has, or a new one, at ``path`` or in the session's warehouse."""
+        self._spark, self.name, self._path = spark, name, path
+        self._buckets = buckets_of(spark, name)[0] if self.exists() else buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     @classmethod
     def temporary(cls, spark: SparkSession) -> DigestIndex:
-        """An index under a name of its own in the warehouse."""
-        return cls(spark, f"digest_index_{uuid.uuid4().hex}")
+        """An index under a name and in a shared folder of its own."""
+        return cls(spark, f"digest_index_{uuid.uuid4().hex}", path=scratch_path(spark, "digest-index"))
+
+    def _write(self, groups: DataFrame, name: str) -> None:
+        dealt = groups.repartition(self._buckets, "digest").write.mode("append").format("parquet")
+        if self._path and name == self.name:
+            dealt = dealt.option("path", self._path)
+        elif not self.exists() or name != self.name:
+            check_warehouse_place(self._spark, None)
+        dealt.bucketBy(self._buckets, "digest").sortBy("digest").saveAsTable(name)
 
     def exists(self) -> bool:
         return self._spark.catalog.tableExists(self.name)
@@ -66,41 +79,50 @@ class DigestIndex:
         )
         if self.exists():
             groups = groups.join(self.read().hint("merge"), "digest", "left_anti")
-        (
-            groups.repartition(self._buckets, "digest")
-            .write.mode("append")
-            .format("parquet")
-            .bucketBy(self._buckets, "digest")
-            .sortBy("digest")
-            .saveAsTable(self.name)
-        )
+        self._write(groups, self.name)
 
     def compact(self) -> DigestIndex:
         """The same index with one sorted file for each bucket, under a new name."""
-        other = DigestIndex(self._spark, f"{self.name}_{uuid.uuid4().hex[:8]}", self._buckets)
-        (
-            self.read()
-            .repartition(self._buckets, "digest")
-            .write.format("parquet")
-            .bucketBy(self._buckets, "digest")
-            .sortBy("digest")
-            .saveAsTable(other.name)
-        )
+        place = self._path and f"{self._path}-{uuid.uuid4().hex[:8]}"
+        other = DigestIndex(self._spark, f"{self.name}_{uuid.uuid4().hex[:8]}", self._buckets, place)
+        other._write(self.read(), other.name)
         return other
 
     def look_up(self, rows: DataFrame) -> DataFrame:
-        """(id, digest) rows with the index's columns; every row has its digest in the index."""
-        index = self.read()
-        total = index.agg(F.sum("group_size")).first()[0] or 0
-        return join_groups(rows, index, ["digest"], "group_size", total)
+        """(id, digest) rows with the index's columns; every row has its digest in the index.
+
+        ``group_size`` counts the text's rows among these rows, whichever batches they came in.
+        """
+        path = scratch_path(self._spark, "groups")
+        sizes = rows.groupBy("digest").agg(F.count("*").alias("group_size"))
+        sizes.join(self.read().drop("group_size").hint("merge"), "digest").write.parquet(path)
+        return join_groups(rows, self._spark.read.parquet(path), ["digest"], "group_size", rows.count())
+
+
+#: Batches in which a table is admitted.
+BATCHES = 2
+
+
+def falling_batches(rows: DataFrame, batches: int) -> list[DataFrame]:
+    """The rows in batches of falling ids, over equal ranges of ids; null ids are in the last one."""
+    low, high = rows.agg(F.min("id"), F.max("id")).first()
+    if not isinstance(low, int) or high - low < batches:
+        return [rows]
+    marks = [low + (high - low) * k // batches for k in range(batches - 1, 0, -1)]
+    parts, above = [], F.lit(False)
+    for mark in marks:
+        here = F.coalesce(F.col("id") >= mark, F.lit(False))
+        parts.append(rows.filter(here & ~above))
+        above = here
+    return [*parts, rows.filter(~above)]
 
 
-def deduplicate(docs: DataFrame, index: DigestIndex, *, id: str = "doc_id", text: str = "text") -> DataFrame:
+def deduplicate(docs: DataFrame, index: DigestIndex, *, id: str = "doc_id", text: str = "text", batches: int = BATCHES) -> DataFrame:
     """One row per row of ``docs``: id, digest, keep_id, keep_rows, group_size, kept.
 
-    The documents are admitted to the index first. ``group_size`` counts the rows of the batch in which the
-    text came to the index.
+    The documents are admitted to the index first. ``group_size`` counts the rows of ``docs`` with the text.
     """
     rows = digests(docs, id=id, text=text)
-    index.admit(rows)
+    for batch in falling_batches(rows, batches):
+        index.admit(batch)
     return index.look_up(rows).withColumn("kept", F.col("id").eqNullSafe(F.col("keep_id")))
