@@ -62,8 +62,7 @@ def _draw(*parts: str) -> str:
 ORACLES["op1_mixing"] = rf"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, coalesce(CAST(doc_id AS VARCHAR), 'null') AS id, coalesce('=' || source, 'null') AS key,
-    len(list_filter(string_split_regex(coalesce(text, ''), '[ 	-
-]+'), lambda x: x <> '')) AS n_words
+    len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS n_words
   FROM documents
 ), s AS (
   SELECT key, CAST(sum(n_words) AS BIGINT) AS t, count(*) AS n FROM d GROUP BY key
