@@ -21,10 +21,12 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from starmart.llm.resident import hold, trim
+
 #: Pieces whose encoding a worker remembers, in two generations of this size each; longer ones than this many
 #: characters are not remembered. Likewise pairs of tokens and steps of the automaton.
-CACHED, CACHED_CHARS = 250_000, 48
-CACHED_PAIRS = 1_000_000
+CACHED, CACHED_CHARS = 100_000, 48
+CACHED_PAIRS = 400_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -248,15 +250,9 @@ class ByteBpe:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-_loaded: dict[tuple[str, str], ByteBpe] = {}
-
-
 def load(path: str, pattern: str) -> ByteBpe:
     """Read once in each Python worker. The file must be at the same place on every machine."""
-    if (path, pattern) not in _loaded:
-        _loaded.clear()
-        _loaded[path, pattern] = ByteBpe(read_ranks(path), pattern)
-    return _loaded[path, pattern]
+    return hold(("byte_bpe", path, pattern), lambda: ByteBpe(read_ranks(path), pattern))
 
 
 def encode(path: str, pattern: str) -> Callable[[Column], Column]:
@@ -268,6 +264,7 @@ def encode(path: str, pattern: str) -> Callable[[Column], Column]:
         for batch in batches:
             yield pd.Series([np.array(bpe.encode(t or ""), np.int32) for t in batch], dtype=object)
         bpe.rest()
+        trim()
 
     return run
 
@@ -309,5 +306,6 @@ def round_trip(path: str, pattern: str) -> Callable[[Column], Column]:
                 }
             )
         bpe.rest()
+        trim()
 
     return run

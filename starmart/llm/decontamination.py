@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from starmart.llm.arrays import slices
 from starmart.llm.columns import free_name
 from starmart.llm.places import written
+from starmart.llm.resident import hold
 from starmart.llm.wu_manber import PADDING, WuManber
 
 WORDS = 10
@@ -122,14 +123,8 @@ class Searcher:
         return [(n, first, last, sorted(set(items))) for n, first, last, items in found]
 
 
-_loaded: dict[str, Searcher] = {}
-
-
 def _load(name: str, block: Broadcast) -> Searcher:
-    if name not in _loaded:
-        _loaded.clear()
-        _loaded[name] = Searcher(block.value)
-    return _loaded[name]
+    return hold(("decontamination", name), lambda: Searcher(block.value))
 
 
 def _merged(first: list, last: list, before: dict | None) -> tuple[list[int], list[int]]:

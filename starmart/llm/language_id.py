@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.arrays import slices
+from starmart.llm.resident import hold, trim
 
 UNKNOWN = "und"
 #: Labelled rows taken of each language, characters taken of each of them, and characters kept of a language.
@@ -239,15 +240,9 @@ class CrossParser:
         return [self.names[b] if k else UNKNOWN for b, k in zip(best, known)], np.where(known, score, 0.0)
 
 
-_parsers: dict[LanguageModel, CrossParser] = {}
-
-
 def _parser(model: LanguageModel) -> CrossParser:
     """Built once in each Python worker."""
-    if model not in _parsers:
-        _parsers.clear()
-        _parsers[model] = CrossParser(model)
-    return _parsers[model]
+    return hold(("language_id", model), lambda: CrossParser(model))
 
 
 def identify(model: LanguageModel) -> Callable[[Column], Column]:
@@ -268,5 +263,6 @@ def identify(model: LanguageModel) -> Callable[[Column], Column]:
                 scores.append(score)
                 known.append(parser.known_share(texts[a:b]))
             yield pd.DataFrame({"lang": langs, "score": np.concatenate(scores), "known": np.concatenate(known)})
+        trim()
 
     return run

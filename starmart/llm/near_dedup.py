@@ -3,7 +3,8 @@
 Two documents are linked if the Jaccard similarity of their sets of word shingles is at least ``percent``; the
 result holds the connected components of these links.
 
-1. Each document gets the size, a fingerprint and a signature of its set. Documents with equal sets are one class.
+1. Each document gets the size and a signature of its set. Documents with equal texts (A-Z in lower case) are one
+   class.
 2. Signatures of classes are cut into bands; classes that share a band are candidates.
 3. Candidates' signatures are compared in batches of hash functions. After each batch a pair is given up if the
    posterior probability that it is similar enough is below ``miss``. In a band, first the least class is compared
@@ -16,7 +17,8 @@ result holds the connected components of these links.
    differ from the main part against all blocks. Pairs that are already connected need no check.
 
 A pair at the threshold shares no band with probability (1 - 0.8 ** 4) ** 32, about 5e-8, and is pruned with
-probability of about ``miss`` in each batch; every link that is found is exact.
+probability of about ``miss`` in each batch. A link is reported when the sets have enough in common, and after the
+bytes of the two texts' shingles were compared wherever hashes are equal; so no link rests on hashes.
 
 Null and empty texts and texts without words have empty sets and are linked with nothing. A row with a null id
 takes no part: it is a component of its own without id, and kept. Repeated rows are in one class. If an id comes
@@ -39,7 +41,8 @@ from starmart.llm.arrays import slices
 from starmart.llm.columns import if_small, join_groups
 from starmart.llm.components import components
 from starmart.llm.exact_dedup import digest_of
-from starmart.llm.shingles import Sets, as_bytes, fingerprints, shingle_sets, signatures
+from starmart.llm.resident import release, trim
+from starmart.llm.shingles import Sets, as_bytes, shingle_sets, signatures, told_apart, true_set
 from starmart.session import scratch_path
 
 BANDS, BAND_ROWS = 32, 4
@@ -47,6 +50,10 @@ BANDS, BAND_ROWS = 32, 4
 BATCH = 16
 MISS = 1e-9
 SLICE_BYTES = 1 << 19
+#: Bytes of two texts beyond which their shingles are compared as arrays first.
+LONG_BYTES = 1 << 20
+#: Characters of a unit after which a worker gives memory back.
+TRIM_BYTES = 4 << 20
 #: Texts in a block; a unit of verification holds two blocks. Blocks are dealt by hash, so sizes vary a little.
 BLOCK = 192
 #: Members of a band that are compared with the others in the second round.
@@ -88,23 +95,20 @@ def similar_enough(left: np.ndarray, right: np.ndarray, needed: np.ndarray) -> n
 
 
 def _describe(words: int, hashes: int):
-    """Column function: size, fingerprint and signature of each text's set."""
+    """Column function: size and signature of each text's set."""
 
-    @F.pandas_udf("n long, f long, g long, signature binary")
+    @F.pandas_udf("n long, signature binary")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        release()
         for batch in batches:
             texts = [as_bytes(t) for t in batch]
             parts = []
             for a, b in slices(texts, SLICE_BYTES):
                 sets = shingle_sets(texts[a:b], words)
-                marks = fingerprints(sets)
                 rows = signatures(sets, hashes)
-                parts.append(
-                    pd.DataFrame(
-                        {"n": sets.sizes(), "f": marks[:, 0], "g": marks[:, 1], "signature": [r.tobytes() for r in rows]}
-                    )
-                )
-            yield pd.concat(parts) if parts else pd.DataFrame({"n": [], "f": [], "g": [], "signature": []})
+                parts.append(pd.DataFrame({"n": sets.sizes(), "signature": [r.tobytes() for r in rows]}))
+            yield pd.concat(parts) if parts else pd.DataFrame({"n": [], "signature": []})
+        trim()
 
     return run
 
@@ -143,8 +147,12 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (small + large - common)
 
 
-def _own_set(text: bytes, words: int) -> np.ndarray:
-    return shingle_sets([text], words).values
+def _really_linked(a: bytes, b: bytes, words: int, percent: int) -> bool:
+    """Whether two texts whose hashed sets are linked are so by the bytes of their shingles."""
+    if len(a) + len(b) > LONG_BYTES and told_apart([a, b], words):
+        return True
+    x, y = true_set(a, words), true_set(b, words)
+    return 100 * len(x & y) >= percent * len(x | y)
 
 
 def compare_unit(
@@ -203,7 +211,7 @@ def verify_unit(
         for i in np.argsort(-near, kind="stable"):
             a, b = int(left[i]), int(right[i])
             root_a, root_b = joined.root(a), joined.root(b)
-            if root_a != root_b and _linked(sets[a], sets[b], percent):
+            if root_a != root_b and _linked(sets[a], sets[b], percent) and _really_linked(texts[a], texts[b], words, percent):
                 joined.to[max(root_a, root_b)] = min(root_a, root_b)
                 links.append((int(nodes[a]), int(nodes[b])))
     return links
@@ -229,14 +237,13 @@ class _Search:
     def describe(self) -> None:
         found = _describe(self.words, BANDS * BAND_ROWS)(F.col("text"))
         rows = self.docs.select("id", digest_of(F.col("text")).alias("digest"), found.alias("d"))
-        self.rows = self.written(rows.select("id", "digest", "d.n", "d.f", "d.g", "d.signature"), "rows")
+        self.rows = self.written(rows.select("id", "digest", "d.n", "d.signature"), "rows")
         keyed = self.rows.filter("n > 0 AND id IS NOT NULL")
-        groups = keyed.groupBy("f", "g").agg(F.min(F.struct("id", "digest")).alias("first"), F.count("*").alias("copies"))
+        groups = keyed.groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
         # a number of its own, since several classes may have the same least id
-        groups = groups.sortWithinPartitions("f", "g").withColumn("node", F.monotonically_increasing_id())
-        self.classes = self.written(groups.select("node", "f", "g", "first.id", "first.digest", "copies"), "classes")
-        first = self.classes.select("f", "g", "id", "digest", "node")
-        reps = keyed.join(first, ["f", "g", "id", "digest"]).dropDuplicates(["node"])
+        groups = groups.sortWithinPartitions("digest").withColumn("node", F.monotonically_increasing_id())
+        self.classes = self.written(groups.select("node", "id", "digest", "copies"), "classes")
+        reps = keyed.join(self.classes.select("id", "digest", "node"), ["id", "digest"]).dropDuplicates(["node"])
         self.reps = self.written(reps.select("node", "n", "signature"), "reps")
 
     def bands(self) -> DataFrame:
@@ -342,6 +349,9 @@ class _Search:
                 same["node"].to_numpy(), same["label"].tolist(), same["x"].to_numpy(bool), same["y"].to_numpy(bool),
                 [as_bytes(t) for t in same["text"]], words, percent, needed,
             )
+            if same["text"].map(len).sum() > TRIM_BYTES:
+                del same
+                trim()
             return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
         units = self.written(units, f"units-{name}")
@@ -397,12 +407,12 @@ class _Search:
         total = least.agg(F.sum("size")).first()[0] or 0
         named = join_groups(labels.select("node", "label"), least, ["label"], "size", total).select("node", "component")
         found = self.classes.join(named, "node", "left").select(
-            "f", "g", "copies", F.coalesce("component", "id").alias("component")
+            "digest", "copies", F.coalesce("component", "id").alias("component")
         )
         found = self.written(found, "found")
-        linked = self.rows.filter("n > 0 AND id IS NOT NULL").select("id", "digest", "n", "f", "g")
+        linked = self.rows.filter("n > 0 AND id IS NOT NULL").select("id", "digest", "n")
         total = found.agg(F.sum("copies")).first()[0] or 0
-        linked = join_groups(linked, found, ["f", "g"], "copies", total).select("id", "n", "component", "digest")
+        linked = join_groups(linked, found, ["digest"], "copies", total).select("id", "n", "component", "digest")
         alone = self.rows.filter("n = 0 OR id IS NULL").select("id", "n", F.col("id").alias("component"), "digest")
         return linked.unionByName(alone).withColumn("kept", F.col("id").eqNullSafe(F.col("component")))
 

@@ -1,8 +1,8 @@
 """Sets of word shingles and their MinHash signatures, for many texts at a time.
 
 Words are runs of bytes other than x20 and x09-x0D of the text with A-Z in lower case. A text's set holds its
-distinct runs of ``words`` words; with fewer words, the whole sequence as one; without words it is empty. Shingles
-are told apart by 64-bit hashes.
+distinct runs of ``words`` words; with fewer words, the whole sequence as one; without words it is empty. Sets hold
+64-bit hashes of the shingles; ``told_apart`` compares the bytes behind them.
 """
 
 from __future__ import annotations
@@ -39,8 +39,18 @@ def as_bytes(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "replace").lower()
 
 
-def shingle_sets(texts: list[bytes], words: int) -> Sets:
-    """The sets of a slice of texts, as ``as_bytes`` gives them."""
+@dataclass(frozen=True)
+class _Shingles:
+    """The runs of words of a few texts: number of the first word, words, text, and hash of each run."""
+
+    words: Words
+    start: np.ndarray
+    length: np.ndarray
+    owner: np.ndarray
+    values: np.ndarray
+
+
+def _shingles(texts: list[bytes], words: int) -> _Shingles:
     found = Words(texts)
     hashes, first = found.hashes(), found.first
     counts = np.diff(first)
@@ -53,6 +63,37 @@ def shingle_sets(texts: list[bytes], words: int) -> Sets:
     for k in range(words):
         at = np.minimum(start + k, max(len(hashes) - 1, 0))
         values = np.where(k < length, mix(values * _STEP + hashes[at]), values) if len(hashes) else values
+    return _Shingles(found, start, length, owner, values)
+
+
+def told_apart(texts: list[bytes], words: int) -> bool:
+    """Whether no two different shingles of the texts have one hash, so that the sizes of their sets, and of what
+    they have in common, are exact."""
+    s = _shingles(texts, words)
+    order = np.argsort(s.values, kind="stable")
+    alike = s.values[order][1:] == s.values[order][:-1]
+    a, b = order[:-1][alike], order[1:][alike]
+    if (s.length[a] != s.length[b]).any():
+        return False
+    for k in range(words):
+        on = s.length[a] > k
+        if not s.words.same(s.start[a[on]] + k, s.start[b[on]] + k).all():
+            return False
+    return True
+
+
+def true_set(text: bytes, words: int) -> set:
+    """The set of a text, shingle by shingle."""
+    found = text.split()
+    if len(found) < words:
+        return {tuple(found)} if found else set()
+    return set(zip(*(found[k:] for k in range(words))))
+
+
+def shingle_sets(texts: list[bytes], words: int) -> Sets:
+    """The sets of a slice of texts, as ``as_bytes`` gives them."""
+    found = _shingles(texts, words)
+    owner, values = found.owner, found.values
     order = np.lexsort((values, owner))
     owner, values = owner[order], values[order]
     new = np.ones(len(values), bool)
@@ -61,15 +102,6 @@ def shingle_sets(texts: list[bytes], words: int) -> Sets:
     return Sets(values[new], np.concatenate([[0], np.cumsum(sizes)]))
 
 
-def fingerprints(sets: Sets) -> np.ndarray:
-    """128 bits of each set, as two signed numbers; equal sets have equal ones."""
-    out = np.zeros((len(sets.bounds) - 1, 2), np.uint64)
-    for k, salt in enumerate((0x2545F4914F6CDD1D, 0x9FB21C651E98DF25)):
-        total = np.concatenate([[np.uint64(0)], np.cumsum(mix(sets.values ^ np.uint64(salt)), dtype=np.uint64)])
-        out[:, k] = total[sets.bounds[1:]] - total[sets.bounds[:-1]]
-    return out.view(np.int64)
-
-
 def signatures(sets: Sets, count: int) -> np.ndarray:
     """The least 32-bit hash of each set by each of ``count`` hash functions; all ones for an empty set."""
     full = sets.sizes() > 0

@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 _shipped: set[str] = set()
 
 #: Bytes of the rows that a Python worker is given at a time: texts are long, and a worker holds several copies.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

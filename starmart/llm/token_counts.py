@@ -18,6 +18,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from starmart.llm.byte_bpe import Recent, read_ranks
+from starmart.llm.resident import hold
 
 
 class LongestMatch:
@@ -78,14 +79,8 @@ class LongestMatch:
         return len(words), sum(map(self.words.__getitem__, words))
 
 
-_loaded: dict[str, LongestMatch] = {}
-
-
 def _load(path: str) -> LongestMatch:
-    if path not in _loaded:
-        _loaded.clear()
-        _loaded[path] = LongestMatch(read_ranks(path))
-    return _loaded[path]
+    return hold(("token_counts", path), lambda: LongestMatch(read_ranks(path)))
 
 
 def count_tokens(path: str) -> Callable[[Column], Column]:

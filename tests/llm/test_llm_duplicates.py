@@ -241,3 +241,58 @@ def test_components(spark):
 def test_no_step_pairs_everything(spark):
     plan = near_duplicates(table(spark, [(1, "a b"), (2, "a b")]))._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("length", [512, 1024, 4096])
+def test_words_that_a_polynomial_hash_confuses(spark, length):
+    word = "a"
+    while len(word) < length:
+        word += word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, word), (2, word.translate(str.maketrans("ab", "ba"))), (3, f"x {word}"), (4, f"x {word[::-1]}z"), (5, word.upper())]
+    assert result(near_duplicates(table(spark, rows), words=2)) == expected_components(rows)
+
+
+def test_links_do_not_rest_on_hashes(monkeypatch):
+    from starmart.llm import arrays, shingles
+
+    draw = random.Random(4)
+    texts = [b" ".join(b"%d" % draw.randrange(60) for _ in range(40)) for _ in range(30)] + [b"one", b"two three", b""]
+    assert all(shingles.told_apart([a, b], 2) for a in texts for b in texts[:3])
+    for a, b in zip(texts, texts[1:]):
+        for words in (2, 5):
+            x, y = shingles.true_set(a, words), shingles.true_set(b, words)
+            sets = shingle_sets([a, b], words)
+            assert [len(x), len(y)] == sets.sizes().tolist()
+            assert len(x & y) == len(np.intersect1d(sets.of(0), sets.of(1)))
+    monkeypatch.setattr(arrays.Words, "hashes", lambda self: np.zeros(len(self.start), np.uint64))
+    assert not shingles.told_apart([b"a b c d", b"p q r s"], 2)
+    assert shingles.told_apart([b"a a a a", b"a a"], 2)
+    assert near_dedup._linked(*[shingle_sets([t], 2).values for t in (b"a b c d", b"p q r s")], 80)
+    for limit in (0, 1 << 20):
+        monkeypatch.setattr(near_dedup, "LONG_BYTES", limit)
+        assert not near_dedup._really_linked(b"a b c d", b"p q r s", 2, 80)
+        assert near_dedup._really_linked(b"a b c d e f", b"a b c d e f", 2, 80)
+
+
+def test_batches_by_falling_id(spark):
+    from starmart.llm.exact_dedup import falling_batches
+
+    rows = [(i, f"t{i % 7}" if i % 2 else "Hot") for i in range(200)] + [(None, "t1"), (None, "alone"), (199, "t3")]
+    parts = falling_batches(digests(table(spark, rows)), 4)
+    ids = [[r.id for r in p.collect()] for p in parts]
+    assert sorted(map(str, sum(ids, []))) == sorted(str(i) for i, _ in rows)
+    known = [[i for i in part if i is not None] for part in ids]
+    assert all(min(a) > max(b) for a, b in zip(known, known[1:])) and [None in part for part in ids] == [False] * 3 + [True]
+    for batches in (1, 2, 5):
+        index = DigestIndex.temporary(spark)
+        got = deduplicate(table(spark, rows), index, batches=batches).collect()
+        assert sorted((str(r.id), str(r.keep_id), r.group_size, r.kept, r.keep_rows) for r in got) == expected_exact(rows)
+        assert index.read().count() == len({digest for _, digest in digests(table(spark, rows)).collect()})
+
+
+def test_an_index_keeps_its_buckets(spark):
+    index = DigestIndex(spark, DigestIndex.temporary(spark).name, buckets=3, path=scratch_path(spark, "index"))
+    index.admit(digests(table(spark, [(1, "a"), (2, "b")])))
+    later = DigestIndex(spark, index.name)
+    later.admit(digests(table(spark, [(3, "A"), (4, "c")])))
+    assert sorted(r.keep_id for r in later.read().collect()) == [1, 2, 4]
