@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
+from pathlib import Path
+
 import oracle
 import pytest
 
@@ -56,3 +60,12 @@ def test_fact_join_keeps_python_out_and_merges(spark):
     text = plan(fact_lines(built.tables["order_details"], built.tables["orders"], built.dims))
     assert "SortMergeJoin [order_id" in text
     assert "Python" not in text
+
+
+def test_queries_without_a_package_of_the_corpus_operators():
+    code = (
+        "import sys; sys.modules['regex'] = sys.modules['public_tokenizers'] = None; import __spark_entry__ as e;"
+        "assert 'fact_orders' in e.queries() and set(e.queries()) == set(e.oracle_sql()), e.queries().keys()"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parent.parent, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
