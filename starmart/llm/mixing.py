@@ -28,6 +28,8 @@ from starmart.llm.columns import free_name, if_small
 from starmart.session import scratch_path
 
 BISECTIONS = 60
+#: Sources whose shares are brought to the driver and broadcast, some 100 bytes each.
+MOST_SOURCES = 200_000
 
 
 def entropy(weights: list[float]) -> float:
@@ -145,7 +147,10 @@ def plan_mix(
     id: str = "doc_id",
     source: str = "source",
 ) -> Mix:
-    """Weights, budgets and the choice of the partial passes, from one reading of the documents."""
+    """Weights, budgets and the choice of the partial passes, from one reading of the documents.
+
+    The sources' shares are brought to the driver and broadcast; more than ``MOST_SOURCES`` sources are refused.
+    """
     spark = docs.sparkSession
     path = scratch_path(spark, "mix")
     ident = F.coalesce(F.col(id).cast("string"), F.lit("null"))
@@ -153,10 +158,10 @@ def plan_mix(
         f"{path}/sizes"
     )
     sizes = spark.read.parquet(f"{path}/sizes")
-    found = sorted(
-        sizes.groupBy("key").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("documents")).collect(),
-        key=lambda r: r["key"],
-    )
+    shares = sizes.groupBy("key").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("documents"))
+    found = sorted(shares.limit(MOST_SOURCES + 1).collect(), key=lambda r: r["key"])
+    if len(found) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources; mix groups of them instead")
     counts = [r["tokens"] for r in found]
     total = sum(counts)
     exponent = exponent_for(counts, target_entropy, max_repeats) if total else 1.0
