@@ -45,7 +45,8 @@ def fit(docs: DataFrame, train: Column, *, text: str = "text", lang: str = "lang
     """Labelled text from a bounded sample of the rows for which ``train`` holds.
 
     Of each language it takes the row with the least hash of each of ``SAMPLE_ROWS`` classes of ids, so each
-    task reduces its rows before the shuffle. Rows without id, text or language are not used.
+    task reduces its rows before the shuffle. Of several texts with one id and language it takes the least, so no id
+    brings more than one row per language to the driver. Rows without id, text or language are not used.
     """
     seed = F.xxhash64(F.col(id).cast("string"))
     rows = docs.filter(train & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}") & F.col(id).isNotNull())
@@ -59,8 +60,8 @@ def fit(docs: DataFrame, train: Column, *, text: str = "text", lang: str = "lang
     wanted = sorted({r["seed"] for r in chosen})
     texts = (
         rows.filter(seed.isin(wanted))
-        .select(F.col(lang).alias("lang"), seed.alias("seed"), F.substring(text, 1, SAMPLE_ROW_CHARS).alias("text"))
-        .distinct()
+        .groupBy(F.col(lang).alias("lang"), seed.alias("seed"))
+        .agg(F.min(F.substring(text, 1, SAMPLE_ROW_CHARS)).alias("text"))
         .collect()
     )
     by_lang: dict[str, list[tuple[int, str]]] = {}

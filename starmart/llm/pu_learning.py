@@ -77,6 +77,7 @@ def training_rows(
 
     The rows with the least hashes of their ids are taken: trusted positives, and rows of the corpus whatever
     their label. Rows without id and null labels are not used; if a document has several labels, the largest counts.
+    Of an id with several texts the least one is used, so the sample is as small as stated whatever the ids.
     """
     by_hash = F.xxhash64(F.col(id).cast("string"), F.lit("sample"))
     known = (
@@ -94,5 +95,6 @@ def training_rows(
     texts = rows.select(F.col(id).alias("id"), F.coalesce(text, F.lit("")).alias("text"))
     # positives + unlabelled rows at most, written because they are read several times
     path = scratch_path(docs.sparkSession, "training")
-    texts.join(F.broadcast(wanted), "id").select("text", "positive").distinct().write.parquet(path)
+    one_text = texts.join(F.broadcast(wanted), "id").groupBy("id", "positive").agg(F.min("text").alias("text"))
+    one_text.select("text", "positive").distinct().write.parquet(path)
     return docs.sparkSession.read.parquet(path), prior

@@ -14,7 +14,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from starmart.llm import byte_bpe, mixing, pu_learning, quality, topk, toxicity
+from starmart.llm import byte_bpe, language_id, mixing, pu_learning, quality, topk, toxicity
 from starmart.llm.columns import free_name, in_class
 from starmart.llm.queries import QUERIES
 from starmart.llm.shipping import ship_package
@@ -95,6 +95,28 @@ def test_mix_of_nothing_and_of_no_tokens(spark):
     assert mixing.plan_mix(none, F.col("tokens")).apply(none).count() == 0
 
 
+def test_more_sources_than_the_bound_are_refused(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"s{i}", 3) for i in range(5)], "doc_id long, source string, tokens int")
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 5)
+    assert len(mixing.plan_mix(df, F.col("tokens")).sources) == 5
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 4)
+    with pytest.raises(ValueError, match="more than 4 sources"):
+        mixing.plan_mix(df, F.col("tokens"))
+
+
+def test_samples_are_bounded_for_an_id_of_many_texts(spark):
+    texts = [(1, f"words number {i}", "en") for i in range(200)] + [(2, "other words", "en"), (3, None, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    rows, _ = pu_learning.training_rows(
+        docs, labels, "toxic", F.lit(True), positives=5, unlabelled=500, id="doc_id", text=F.col("text")
+    )
+    got = sorted((r.positive, r.text) for r in rows.collect())
+    assert got == [(False, ""), (False, "other words"), (False, "words number 0"), (True, "words number 0")]
+    ((lang, sample),) = language_id.fit(docs, F.lit(True)).samples
+    assert lang == "en" and sorted(sample.split()) == sorted("words number 0 other words".split())
+
+
 def test_word_count(spark):
     rows = [(None,), ("",), (" \n",), ("a",), (" a  b\x0bc d ",)]
     assert [r[0] for r in spark.createDataFrame(rows, "t string").select(mixing.word_count(F.col("t"))).collect()] == [0, 0, 0, 1, 3]
