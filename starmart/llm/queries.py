@@ -250,10 +250,11 @@ ORACLES["op8_top_k"] = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND vec_id IS NOT NULL
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e::DOUBLE[], c.e::DOUBLE[]) AS BIGINT) AS score
+  SELECT q.vec_id AS query_id, c.vec_id, CASE WHEN least(len(q.e), len(c.e)) = 0 THEN 0
+    ELSE CAST(list_dot_product(q.e::DOUBLE[], c.e::DOUBLE[]) AS BIGINT) END AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
 ), r AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s

@@ -9,8 +9,8 @@ visits the annulus with the least lower bound, which gives its k-th best distanc
 outwards, the cells whose bound |d(query, pivot) - annulus| is not beyond that. All rows are indexed; only the
 pivots come from a bounded sample, which affects speed, never results. Queries meet a cell in blocks.
 
-Rows with a null id, a null vector, or null or non-finite components take no part, neither do empty vectors or those
-with a component whose integer is no long (|x| of 2**55 or more with a factor of 256). Products are exact whatever
+Rows with a null id, a null vector, or null or non-finite components take no part, neither do those with a component
+whose integer is no long (|x| of 2**55 or more with a factor of 256). An empty vector scores 0 with every other. Products are exact whatever
 their size; a score in the result that is no long fails the query. Shorter vectors count as filled up with zeros.
 Rows that repeat an id are rows of their own as candidates (but never for a query with that id); a repeated query id is answered once, by its least vector. Ties go to the smaller id. Without
 candidates there are no rows. Columns other than id and vector are never read.
@@ -38,10 +38,10 @@ LIMB, COLUMNS = 21, 512
 
 
 def valid(vector: Column, factor: int = 256) -> Column:
-    """Whether a vector has components, none of them null, non-finite or beyond a long as integers."""
+    """Whether a vector is there and none of its components is null, non-finite or beyond a long as an integer."""
     scaled = lambda x: x.cast("double") * factor
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (scaled(x) >= 2.0**63) | (scaled(x) < -(2.0**63)))
-    return F.coalesce(vector.isNotNull() & (F.size(vector) > 0) & ~bad, F.lit(False))
+    return F.coalesce(vector.isNotNull() & ~bad, F.lit(False))
 
 
 def quantised(vector: Column, factor: int = 256) -> Column:

@@ -7,6 +7,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from starmart.llm import byte_bpe, language_id, mixing, pu_learning, quality, topk, toxicity
 from starmart.llm.columns import free_name, in_class
-from starmart.llm.queries import QUERIES
+from starmart.llm.queries import ORACLES, QUERIES
 from starmart.llm.shipping import ship_package
 from starmart.session import scratch_path
 
@@ -192,7 +193,7 @@ def brute_top(rows, asks, k):
     ints = {}
     listed = []
     for i, v in rows:
-        if i is None or v is None or not v or any(x is None or not math.isfinite(x) for x in v):
+        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
         listed.append((i, [math.floor(256 * x) for x in v]))
     for i, v in listed:
@@ -215,7 +216,7 @@ def test_search_equals_brute_force(spark, monkeypatch, cell):
     rows = [(i, [rng.gauss(i % 5, 0.3) for _ in range(6)]) for i in range(400)]
     rows += [(1000 + i, [0.5, 0.5, 0.5, 0.0, 0.0, 0.0]) for i in range(60)]
     rows += [(2000, None), (2001, []), (2002, [1.0, None]), (2003, [float("nan")] * 6), (2004, [float("inf")] * 6), (None, [1.0] * 6),
-             (2010, [3.0, 3.0]), (20, [9.0] * 6), (20, [9.0] * 6), (2005, [1e300] * 2)]
+             (2010, [3.0, 3.0]), (20, [9.0] * 6), (20, [9.0] * 6), (2020, []), (2005, [1e300] * 2)]
     df = spark.createDataFrame([(i, v, 1, 1.0) for i, v in rows], "vec_id long, embedding array<double>, id int, score double")
     got = topk.top_k(df, F.col("vec_id") % 20 == 0, k=5)
     rows = [r for r in rows if r[0] != 2005]  # beyond what the integers hold
@@ -256,6 +257,21 @@ def test_search_of_few_rows(spark):
     assert topk.top_k(df.filter("vec_id = 0"), F.col("vec_id") == 0).count() == 0
 
 
+def test_search_of_empty_vectors(spark):
+    ship_package(spark)
+    rows = [(0, []), (1, []), (2, [-1.0, 0.0]), (3, [2.0, 1.0]), (20, [-3.0, 0.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for some in (df, df.filter("vec_id < 2")):
+        got = topk.top_k(some, F.col("vec_id") % 20 == 0, k=3)
+        listed = [tuple(r) for r in some.collect()]
+        assert sorted(tuple(r) for r in got.collect()) == sorted(brute_top(listed, lambda i: i % 20 == 0, 3))
+    frame = df.toPandas()
+    con = duckdb.connect()
+    con.register("embeddings", frame)
+    sql = ORACLES["op8_top_k"].replace("% 50", "% 20")
+    assert sorted(con.execute(sql).fetchall()) == sorted(brute_top(rows, lambda i: i % 20 == 0, 5))
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(2)
     points, pivots = rng.normal(size=(300, 4)), rng.normal(size=(3, 4))
