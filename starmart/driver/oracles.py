@@ -226,6 +226,10 @@ ORACLES: dict[str, str] = {
       CASE WHEN p_partkey % 3 = 1 THEN p_brand END AS Brand, CASE WHEN p_partkey % 3 = 2 THEN 'a; b' END AS Note,
       'Brand:string,Note:string,ProductID:bigint,Size:string,UnitPrice:double' AS kinds
     FROM part""",
+    "quoted_line_breaks": """
+    SELECT CAST(c_custkey AS BIGINT) AS customer_id, c_name AS company_name,
+      c_name || '; "' || c_mktsegment || '"' || chr(10) || chr(10) || '# ' || c_custkey || ';' || chr(10) || 'end' AS note
+    FROM customer""",
     "exclude_columns": _sql(
         PLACES, select="SELECT c_custkey AS customer_id, c_name AS company_name, n_name AS country FROM places"
     ),

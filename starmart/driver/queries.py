@@ -27,6 +27,7 @@ from starmart.plans.fact import fact_orders as fact_orders_with_key
 from starmart.session import scratch_path
 from starmart.sources import raw_schemas, tables
 from starmart.sources.delimited import CORRUPT, infer_schema, scan_delimited, scan_merged, write_delimited
+from starmart.sources.records import scan_records
 from starmart.sources.manifest import TableSet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -264,6 +265,18 @@ def merged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kinds", F.lit(kinds))
 
 
+@query
+def quoted_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with notes of several lines, written to files and cut into records by byte ranges."""
+    key, name = F.col("c_custkey").cast("bigint"), F.col("c_name")
+    note = F.concat(name, F.lit('; "'), "c_mktsegment", F.lit('"\n\n# '), key.cast("string"), F.lit(";\nend"))
+    rows = mapping.table(spark, sf_dir, "customer").select(key.alias("Id"), name.alias("Name"), note.alias("Note"))
+    path = scratch_path(spark, "notes")
+    write_delimited(rows, path)
+    read = scan_records(spark, path, raw_schemas.struct_of({"Id": "long", "Name": "string", "Note": "string"}))
+    return read.select(F.col("Id").alias("customer_id"), F.col("Name").alias("company_name"), F.col("Note").alias("note"))
+
+
 # Columns
 
 

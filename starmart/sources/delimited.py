@@ -59,7 +59,7 @@ def scan_delimited(
     # Without pruning a row of the wrong length is noticed whichever columns a query needs.
     reader = reader.option("columnPruning", "false").option("multiLine", line_breaks_in_quotes)
     # Numbers are read as text, because the reader drops thousands signs wherever they stand.
-    as_text = T.StructType([T.StructField(f.name, _read_as(f.dataType)) for f in schema.fields])
+    as_text = T.StructType([T.StructField(f.name, read_as(f.dataType)) for f in schema.fields])
     if strict:
         df = reader.option("mode", "FAILFAST").schema(as_text).csv(path)
     else:
@@ -69,7 +69,7 @@ def scan_delimited(
     ranged = skip_rows or max_rows is not None
     if source_order or ranged:
         df = with_source_order(df)
-    df = _typed(_trimmed(df, as_text), schema, strict)
+    df = typed(trimmed(df, as_text), schema, strict)
     if ranged:
         df = in_source_range(df, skip_rows, max_rows)
         if not source_order:
@@ -79,7 +79,7 @@ def scan_delimited(
     return df
 
 
-def _read_as(kind: T.DataType) -> T.DataType:
+def read_as(kind: T.DataType) -> T.DataType:
     return T.StringType() if isinstance(kind, _NUMBERS) else kind
 
 
@@ -89,7 +89,7 @@ def as_number(text: Column, kind: T.DataType) -> Column:
     return F.when(text.rlike(FLOATING), number) if isinstance(kind, (T.DoubleType, T.FloatType)) else number
 
 
-def _typed(df: DataFrame, schema: T.StructType, strict: bool) -> DataFrame:
+def typed(df: DataFrame, schema: T.StructType, strict: bool) -> DataFrame:
     """Number columns from their text. A text that is no number fails or marks the row."""
     numbers = {f.name: as_number(F.col(f.name), f.dataType) for f in schema.fields if isinstance(f.dataType, _NUMBERS)}
     misfits = {name: F.col(name).isNotNull() & number.isNull() for name, number in numbers.items()}
@@ -151,7 +151,7 @@ def in_source_range(df: DataFrame, skip: int = 0, rows: int | None = None) -> Da
     return df.select("*", *split).join(F.broadcast(splits), ["_file", "_offset"]).filter(wanted).select(*df.columns)
 
 
-def _trimmed(df: DataFrame, schema: T.StructType) -> DataFrame:
+def trimmed(df: DataFrame, schema: T.StructType) -> DataFrame:
     texts = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
     return df.withColumns({name: to_null(strip(F.col(name))) for name in texts})
 
@@ -163,7 +163,7 @@ def infer_schema(spark: SparkSession, path: str, rows: int | None = None) -> T.S
     row may then not fit the schema. All columns are judged in one pass.
     """
     whole = spark.read.options(**DIALECT).csv(path)
-    looked_at = _trimmed(whole, whole.schema)
+    looked_at = trimmed(whole, whole.schema)
     looked_at = looked_at if rows is None else looked_at.limit(rows)
     kinds = {"int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType()}
     names = looked_at.columns
