@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from starmart import mapping
+from starmart.plans import contracts
 from starmart.plans.fact import Dimensions
 from starmart.plans.warehouse import load_dimensions, load_fact, load_staging
 from starmart.session import scratch_path
@@ -77,6 +78,15 @@ def source_file(spark: SparkSession, sf_dir: str, file: str) -> str:
     return folder
 
 
+#: The driver's keys are written into text columns as numbers, of up to 20 characters, and not as codes of five.
+KEY_DIGITS = 20
+STAGING_CONTRACTS = contracts.STAGING | {
+    "customers": contracts.with_lengths(contracts.STAGING["customers"], customer_id=KEY_DIGITS),
+    "orders": contracts.with_lengths(contracts.STAGING["orders"], customer_id=KEY_DIGITS),
+    "employees": contracts.with_lengths(contracts.STAGING["employees"], extension=KEY_DIGITS),
+}
+
+
 def mart_from_files(spark: SparkSession, sf_dir: str) -> Mart:
     """Source files to staging tables to star schema."""
 
@@ -84,10 +94,10 @@ def mart_from_files(spark: SparkSession, sf_dir: str) -> Mart:
         for file in mapping.RAW:
             folder = source_file(spark, sf_dir, file)
         staging = new_namespace(spark, "staging")
-        tables = load_staging(spark, folder, staging)
+        tables = load_staging(spark, folder, staging, held_to=STAGING_CONTRACTS)
         namespace = new_namespace(spark, "datamart")
         dims = load_dimensions(spark, tables, namespace)
-        return Mart(namespace, tables, dims, load_fact(tables, dims, namespace))
+        return Mart(namespace, tables, dims, load_fact(tables, dims, namespace, held_to=STAGING_CONTRACTS))
 
     return _once(spark, sf_dir, "mart from files", build)
 

@@ -3,7 +3,7 @@ long and numbers that fit their type."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +44,11 @@ class Contract:
         return rules
 
 
+def with_lengths(contract: Contract, **lengths: int) -> Contract:
+    """The contract with other widths of these text columns."""
+    return replace(contract, lengths=contract.lengths | lengths)
+
+
 # Keys, columns that may not be NULL, and the widths of text columns.
 _PLACE = {"address": 200, "city": 100, "region": 100, "postal_code": 20, "country": 100}
 STAGING = {

@@ -30,18 +30,25 @@ def _together(jobs: dict[str, Callable[[], object]]) -> dict:
 
 
 def write_staging(
-    spark: SparkSession, folder: str, namespace: str, refused: str = FAIL, check_lines: bool = False, buckets: int = 0
+    spark: SparkSession,
+    folder: str,
+    namespace: str,
+    refused: str = FAIL,
+    check_lines: bool = False,
+    buckets: int = 0,
+    held_to: dict[str, contracts.Contract] = contracts.STAGING,
 ) -> list[Version]:
     """Clean the six source files and write new versions of the staging tables.
 
     Rows that break a contract fail the load, or, if ``refused`` is ``divert``, go to a table
     ``<name>_refused`` with what is wrong with them. ``check_lines`` also checks the key of the order lines. With
-    ``buckets`` orders and their lines are bucketed by order id, so that they are joined without a shuffle.
+    ``buckets`` orders and their lines are bucketed by order id, so that they are joined without a shuffle. ``held_to``
+    holds the contract of each table.
     """
     layouts = {name: Layout(("order_id",), buckets) for name in ("orders", "order_details") if buckets}
 
     def write(table: str, df: DataFrame) -> list[Version]:
-        contract = contracts.STAGING[table]
+        contract = held_to[table]
         if refused == DIVERT:
             good, bad = contracts.divide(df, contract)
             layout = layouts.get(table, Layout())
@@ -81,14 +88,16 @@ def write_fact(
     by_year: bool = False,
     bucketed: bool = False,
     checked: bool = False,
+    held_to: dict[str, contracts.Contract] = contracts.STAGING,
 ) -> Version:
-    """Write a new version of the fact table; a repeated order id fails the load, unless it was ``checked`` before.
+    """Write a new version of the fact table; orders that break their contract, such as by a repeated id, fail the load,
+    unless they were ``checked`` before.
 
     ``by_year`` adds the order's year and puts each year's lines into a folder of its own. ``bucketed`` says that orders
     and lines are bucketed alike by order id; they are then joined in their buckets, unless an order is too large for one.
     """
     if not checked:
-        contracts.require(tables["orders"], contracts.STAGING["orders"], "orders")
+        contracts.require(tables["orders"], held_to["orders"], "orders")
     lines, orders = tables["order_details"], tables["orders"]
     if not by_year:
         fact, layout = fact_orders(lines, orders, dims, dense_keys), Layout()
@@ -119,10 +128,11 @@ def load_staging(
     refused: str = FAIL,
     check_lines: bool = False,
     buckets: int = 0,
+    held_to: dict[str, contracts.Contract] = contracts.STAGING,
 ) -> dict[str, DataFrame]:
     """Refresh the staging tables from the six source files."""
     create_namespace(spark, namespace, location)
-    return _by_table(publish(write_staging(spark, folder, namespace, refused, check_lines, buckets))[0])
+    return _by_table(publish(write_staging(spark, folder, namespace, refused, check_lines, buckets, held_to))[0])
 
 
 def load_dimensions(
@@ -143,9 +153,10 @@ def load_fact(
     dense_keys: bool = False,
     by_year: bool = False,
     bucketed: bool = False,
+    held_to: dict[str, contracts.Contract] = contracts.STAGING,
 ) -> DataFrame:
     """Refresh the fact table."""
-    version = write_fact(tables, dims, namespace, dense_keys, by_year, bucketed)
+    version = write_fact(tables, dims, namespace, dense_keys, by_year, bucketed, held_to=held_to)
     return publish([version])[0][version.name]
 
 
