@@ -28,6 +28,10 @@ DIALECT = {
 
 # A number that is read as a floating point number; other texts that a cast would take, such as 1d, are text.
 FLOATING = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+# Texts that a cast to a whole number may take, which drops control characters around them; all others it refuses.
+WHOLE = r"^[\x00-\x20\x7f]*[+-]?0*[0-9]{1,19}[\x00-\x20\x7f]*$"
+# The texts that ``as_number`` takes for a floating point number: $ also stands before line ends that a cast refuses.
+FLOATING_TO_END = FLOATING.removesuffix("$") + r"(\r\n|[\n\r])?\z"
 _NUMBERS = (T.IntegralType, T.DecimalType, T.FractionalType)
 
 CORRUPT = "_corrupt"
@@ -156,6 +160,42 @@ def trimmed(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.withColumns({name: to_null(strip(F.col(name))) for name in texts})
 
 
+#: Kinds of values from the narrowest to the widest; a text fits every column.
+KINDS = {"int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType()}
+
+
+def kinds_of(df: DataFrame) -> dict[str, str]:
+    """The narrowest kind that all values of each text column fit, as ``as_number`` has it; text for a column without
+    any value. All columns are judged in one pass.
+
+    A cast that fails costs far more than one that fits, so only texts that look like whole numbers are cast, each once.
+    """
+    names = df.columns
+    if not names:
+        return {}
+    texts = df.toDF(*[f"{i}_text" for i in range(len(names))])
+
+    def whole(i: int) -> Column:
+        text = F.col(f"{i}_text")
+        plain = F.col(f"{i}_floating") & (F.length(text) < 20)  # and no fraction or exponent, looked for without a pattern
+        marked = reduce(Column.__or__, [F.contains(text, F.lit(mark)) for mark in ".eE"])
+        return F.when(F.when(plain, ~marked).otherwise(text.rlike(WHOLE)), text.try_cast("bigint"))
+
+    floating = texts.withColumns({f"{i}_floating": F.col(f"{i}_text").rlike(FLOATING_TO_END) for i in range(len(names))})
+    numbers = floating.withColumns({f"{i}_number": whole(i) for i in range(len(names))})
+    bounds = F.lit(-(1 << 31)), F.lit((1 << 31) - 1)
+    seen = numbers.agg(
+        *[F.count(f"{i}_text").alias(f"{i}_values") for i in range(len(names))],
+        *[F.count(f"{i}_number").alias(f"{i}_long") for i in range(len(names))],
+        *[F.count_if(F.col(f"{i}_number").between(*bounds)).alias(f"{i}_int") for i in range(len(names))],
+        *[F.count_if(f"{i}_floating").alias(f"{i}_double") for i in range(len(names))],
+    ).first()
+    return {
+        name: next((k for k in KINDS if seen[f"{i}_values"] and seen[f"{i}_{k}"] == seen[f"{i}_values"]), "string")
+        for i, name in enumerate(names)
+    }
+
+
 def infer_schema(spark: SparkSession, path: str, rows: int | None = None) -> T.StructType:
     """Column types guessed from all rows: int, long, double, else text; a column without any value is text.
 
@@ -164,27 +204,10 @@ def infer_schema(spark: SparkSession, path: str, rows: int | None = None) -> T.S
     """
     whole = spark.read.options(**DIALECT).csv(path)
     looked_at = trimmed(whole, whole.schema)
-    looked_at = looked_at if rows is None else looked_at.limit(rows)
-    kinds = {"int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType()}
-    names = looked_at.columns
-    fits = [
-        F.every(as_number(F.col(name), type_).isNotNull() | F.col(name).isNull()).alias(f"{i}_{kind}")
-        for i, name in enumerate(names)
-        for kind, type_ in kinds.items()
-    ]
-    some = [F.count(name).alias(f"{i}_values") for i, name in enumerate(names)]
-    seen = looked_at.agg(*fits, *some).first()
-    return struct_of(
-        {
-            name: next((k for k in kinds if seen[f"{i}_values"] and seen[f"{i}_{k}"]), "string")
-            for i, name in enumerate(names)
-        }
-    )
+    return struct_of(kinds_of(looked_at if rows is None else looked_at.limit(rows)))
 
 
 UNION, SAME = "union", "same"
-#: Kinds of values from the narrowest to the widest; a text fits every column.
-_LATTICE = ("int", "long", "double", "string")
 
 
 def headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
@@ -222,15 +245,8 @@ def scan_merged(spark: SparkSession, paths: str | list[str], mode: str = UNION,
     scans = [scan_delimited(spark, files, struct_of(dict.fromkeys(header, "string")), strict) for header, files in groups.items()]
     whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
     names = [c for c in whole.columns if c != CORRUPT]
-    types = {"int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType()}
-    fits = [
-        F.every(as_number(F.col(name), kind).isNotNull() | F.col(name).isNull()).alias(f"{i}_{label}")
-        for i, name in enumerate(names)
-        for label, kind in types.items()
-    ]
-    seen = whole.agg(*fits, *[F.count(name).alias(f"{i}_values") for i, name in enumerate(names)]).first()
-    chosen = {n: next((k for k in _LATTICE[:-1] if seen[f"{i}_values"] and seen[f"{i}_{k}"]), "string") for i, n in enumerate(names)}
-    return whole.withColumns({n: as_number(F.col(n), types[k]) for n, k in chosen.items() if k in types})
+    chosen = kinds_of(whole.select(*[F.col(f"`{n}`") for n in names]))
+    return whole.withColumns({n: as_number(F.col(n), KINDS[k]) for n, k in chosen.items() if k in KINDS})
 
 
 def write_delimited(df: DataFrame, path: str) -> None:

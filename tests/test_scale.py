@@ -39,3 +39,30 @@ def test_other_widths_leave_the_declared_ones():
     wider = contracts.with_lengths(contracts.STAGING["customers"], customer_id=20)
     assert (wider.lengths["customer_id"], wider.lengths["phone"]) == (20, 30)
     assert contracts.STAGING["customers"].lengths["customer_id"] == 5
+
+
+def test_inferred_kinds_equal_casts(spark, tmp_path):
+    """Values that casts refuse, that fit one kind only, or that are at the bounds, alone and beside a number."""
+    values = ["1", "+7", "-0", "2147483647", "2147483648", "-2147483648", "-2147483649", "9223372036854775807"]
+    values += ["9223372036854775808", "00000000000000000000012", "1" * 25, "1.5", ".5", "5.", "1e3", "1E400", "1d", "NaN", "Infinity"]
+    values += ["1,5", "12\x01", "\x7f12", "+", "-", ".", "e", "0x1", "many", "1 2", "12\x85", "12\n", "1.5\r\n", "1.5\n\n"]
+    columns = {f"{i}_{j}": (v, w) for i, v in enumerate(values) for j, w in enumerate([None, "1", "1.5"])}
+    df = spark.createDataFrame([tuple(v[k] for v in columns.values()) for k in (0, 1)], ",".join(f"`{c}` string" for c in columns))
+    got = delimited.kinds_of(df)
+    checks = [
+        F.every(delimited.as_number(F.col(f"`{c}`"), kind).isNotNull() | F.col(f"`{c}`").isNull())
+        for c in columns
+        for kind in delimited.KINDS.values()
+    ]
+    fits = iter(df.select(*df.columns).agg(*checks).first())
+    want = {c: next((k for k, fit in [(k, next(fits)) for k in delimited.KINDS] if fit), "string") for c in columns}
+    assert [(columns[c], got[c], want[c]) for c in columns if got[c] != want[c]] == []
+
+
+def test_texts_are_not_cast_to_find_that_they_do_not_fit(spark, monkeypatch):
+    """Each refused cast throws inside the engine: values that are no whole numbers are told by their characters."""
+    df = spark.range(1000).selectExpr("concat('x', id) AS a", "concat(id, '.5') AS b")
+    strict = lambda text, kind: text.cast(kind)  # noqa: E731  (fails the job instead of giving NULL)
+    monkeypatch.setattr("pyspark.sql.Column.try_cast", strict)
+    monkeypatch.setattr("pyspark.sql.classic.column.Column.try_cast", strict)
+    assert delimited.kinds_of(df) == {"a": "string", "b": "double"}
