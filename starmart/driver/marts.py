@@ -102,8 +102,8 @@ def mart_from_files(spark: SparkSession, sf_dir: str) -> Mart:
     return _once(spark, sf_dir, "mart from files", build)
 
 
-#: Buckets of orders and lines.
-BUCKETS = 8
+#: Buckets of orders and lines at least, and lines that a bucket, which one task sorts, is to hold at most.
+BUCKETS, BUCKET_LINES = 8, 1_000_000
 
 
 def mart_by_year(spark: SparkSession, sf_dir: str) -> Mart:
@@ -113,7 +113,7 @@ def mart_by_year(spark: SparkSession, sf_dir: str) -> Mart:
         tables = stand_ins(spark, sf_dir)
         dims = dimensions(spark, sf_dir)[1]
         namespace = new_namespace(spark, "by_year")
-        layout = Layout(("order_id",), BUCKETS)
+        layout = Layout(("order_id",), max(BUCKETS, -(-tables["order_details"].count() // BUCKET_LINES)))
         written, _ = publish([write_version(tables[name], f"{namespace}.{name}", layout) for name in ("orders", "order_details")])
         tables |= {name.rpartition(".")[2]: df for name, df in written.items()}
         return Mart(namespace, tables, dims, load_fact(tables, dims, namespace, by_year=True, bucketed=True))
