@@ -17,7 +17,7 @@ from starmart.functions.text import blank_token, normalise, null_token
 from starmart.operators import bitmaps, checks, columns
 from starmart.operators.duplicates import dedupe_first, flag_duplicates
 from starmart.operators.filters import first_match, keep_present, keep_where
-from starmart.operators.joins import existing, join_sliced
+from starmart.operators.joins import deal, existing, join_sliced
 from starmart.operators.keys import dense_key
 from starmart.operators.ranking import rank_descending
 from starmart.plans import contracts, reports, staging
@@ -445,13 +445,23 @@ def fact_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def orders_by_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders by country, year and category and by every coarser grouping, from one set of bitmaps."""
+    """Orders by country, year and category and by every coarser grouping, from one set of bitmaps.
+
+    Orders are numbered along their country and year, so that the numbers of a group lie together and fill few bitmaps:
+    numbers that are scattered over the groups would give each group a bitmap, mostly empty, for each range of numbers.
+    """
     built = mart(spark, sf_dir)
-    numbers = dense_key(built.fact.select("order_id").distinct(), ["order_id"], "number")
-    lines = built.fact.groupBy("order_id", "customer_key", "order_time_key", "product_key").agg(F.count("*").alias("lines"))
-    placed = lines.join(numbers, "order_id").join(built.dims.customer.select("customer_key", "country"), "customer_key")
-    placed = placed.join(built.dims.time.select(F.col("time_key").alias("order_time_key"), "year"), "order_time_key")
-    placed = placed.join(built.dims.product.select("product_key", "category_name"), "product_key")
+    customers = built.dims.customer.select("customer_key", "country")
+    years = built.dims.time.select(F.col("time_key").alias("order_time_key"), "year")
+    categories = built.dims.product.select("product_key", "category_name")
+    # One row per order, whatever its lines say: an order keeps one number in all groups.
+    orders = built.fact.groupBy("order_id").agg(*[F.min(c).alias(c) for c in ("customer_key", "order_time_key")])
+    orders = orders.join(customers, "customer_key").join(years, "order_time_key").select("order_id", "country", "year")
+    numbers = dense_key(orders, ["country", "year", "order_id"], "number").select("order_id", "number")
+    lines = built.fact.join(categories, "product_key").groupBy("order_id", "customer_key", "order_time_key", "category_name")
+    rows = built.fact.count()
+    placed = deal(lines.agg(F.count("*").alias("lines")), ["order_id"], rows).join(deal(numbers, ["order_id"], rows), "order_id")
+    placed = placed.join(customers, "customer_key").join(years, "order_time_key")
     names = ["country", "year", "category_name"]
     sets = [[n for i, n in enumerate(names) if mask >> i & 1] for mask in range(8)]
     return bitmaps.rolled_up(bitmaps.distinct_bitmaps(placed, names, "number"), sets, "orders")

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 # SLICE_ROWS rows are left alone; a hot key is cut into slices of about that many rows.
 HOT_PARTS = 10_000
 SLICE_ROWS = 1_000_000
+# Rows of the large side that a task sorts for a join whose size is known, so that its memory stays the same as rows grow.
+TASK_ROWS = 1_000_000
 SLICE = "_slice"
 ROW = "_row"
 
@@ -62,6 +64,17 @@ def repeat(side: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
     return marked.select(*side.columns, F.explode(F.sequence(F.lit(0), last)).alias(SLICE))
 
 
+def deal(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """The frame, dealt by its keys for a join on them whose large side has so many ``rows``.
+
+    Only where the session's partitions would hold more than ``TASK_ROWS`` of them each, it is dealt over more; to be
+    done with both sides of the join alike, which then needs no other shuffle.
+    """
+    tasks = -(-rows // TASK_ROWS)
+    few = tasks <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df if few else df.repartition(tasks, *keys)
+
+
 def join_cut(big: DataFrame, side: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join a ``cut`` with a ``repeat`` frame: the result is that of the plain join.
 
