@@ -1,13 +1,15 @@
 """The five reports over the star schema.
 
 Reports that count orders first reduce the fact to one row per order and grouping key. The distinct
-count is then a plain count, and no group gathers its lines in one task.
+count is then a plain count, and no group gathers its lines in one task. Amounts do not go through that
+shuffle, unless they are needed per order: they are summed by key in each task.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart.functions.numbers import percent, ratio
 from starmart.operators.joins import lookup
@@ -23,8 +25,24 @@ def _calendar(dim_time: DataFrame, *columns: str) -> DataFrame:
     return dim_time.select(F.col("time_key").alias("order_time_key"), *columns)
 
 
-def _per_order(fact: DataFrame, key: str, *measures: str) -> DataFrame:
-    return fact.groupBy(key, "order_id").agg(*[F.sum(m).alias(m) for m in measures])
+def _totals(fact: DataFrame, key: str, **measures: str) -> DataFrame:
+    """Orders per key as ``order_count``, and sums by the name of the total.
+
+    Two readings of a few columns each, because rows per order and key are about as many as lines where the key hangs on
+    the line, and amounts are most of what they hold.
+    """
+    pairs = fact.select(F.col(key).alias("_key"), "order_id").distinct()
+    orders = pairs.groupBy("_key").agg(F.count("*").alias("order_count"))
+    sums = fact.groupBy(key).agg(*[F.sum(m).cast(_total_type(fact, m)).alias(total) for total, m in measures.items()])
+    return sums.join(orders, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
+
+
+def _total_type(fact: DataFrame, measure: str) -> T.DataType:
+    """Room for a sum of sums, which the divisions of the reports round from."""
+    kind = fact.schema[measure].dataType
+    if not isinstance(kind, T.DecimalType):
+        return T.DoubleType() if isinstance(kind, T.FractionalType) else T.LongType()
+    return T.DecimalType(min(38, kind.precision + 20), kind.scale)
 
 
 def revenue_by_category_quarter(
@@ -42,11 +60,7 @@ def revenue_by_category_quarter(
 
 def top_customers(fact: DataFrame, dim_customer: DataFrame, k: int = TOP_CUSTOMERS) -> DataFrame:
     """The customers with the highest revenue; the customer key breaks ties."""
-    per_customer = (
-        _per_order(fact, "customer_key", "total_amount")
-        .groupBy("customer_key")
-        .agg(F.count("*").alias("order_count"), F.sum("total_amount").alias("total_revenue"))
-    )
+    per_customer = _totals(fact, "customer_key", total_revenue="total_amount")
     # The first k before their names are looked up, so that only k customers are: the fact holds no customer
     # that the dimension lacks, because the fact load looks every one up there.
     order = [F.desc_nulls_first("total_revenue"), F.col("customer_key")]
@@ -64,11 +78,7 @@ def top_customers(fact: DataFrame, dim_customer: DataFrame, k: int = TOP_CUSTOME
 
 def employee_performance(fact: DataFrame, dim_employee: DataFrame) -> DataFrame:
     """Revenue, orders and revenue rank per employee, with the manager's name."""
-    per_employee = (
-        _per_order(fact, "employee_key", "total_amount")
-        .groupBy("employee_key")
-        .agg(F.count("*").alias("order_count"), F.sum("total_amount").alias("total_revenue"))
-    )
+    per_employee = _totals(fact, "employee_key", total_revenue="total_amount")
     named = lookup(per_employee, dim_employee, "employee_key").select(
         "employee_key",
         F.col("full_name").alias("employee_name"),
@@ -83,15 +93,7 @@ def employee_performance(fact: DataFrame, dim_employee: DataFrame) -> DataFrame:
 
 def shipping_analysis(fact: DataFrame, dim_shipping: DataFrame) -> DataFrame:
     """Orders, revenue and freight per shipper."""
-    per_shipper = (
-        _per_order(fact, "shipping_key", "total_amount", "freight_allocation")
-        .groupBy("shipping_key")
-        .agg(
-            F.count("*").alias("order_count"),
-            F.sum("total_amount").alias("total_revenue"),
-            F.sum("freight_allocation").alias("total_freight"),
-        )
-    )
+    per_shipper = _totals(fact, "shipping_key", total_revenue="total_amount", total_freight="freight_allocation")
     revenue, freight = F.col("total_revenue"), F.col("total_freight")
     named = per_shipper.join(F.broadcast(dim_shipping), "shipping_key")
     return named.select(

@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+#: How the files of tables are compressed: the warehouse is written once and read often, and is most of what a load writes.
+COMPRESSION = "zstd"
+
+
 def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
     """Create the namespace unless it exists; its tables lie below ``location``."""
     where = f" LOCATION '{location}'" if location else ""
@@ -61,13 +65,13 @@ def write_version(df: DataFrame, name: str, layout: Layout = Layout()) -> Versio
         own = f"{name}_{uuid.uuid4().hex[:12]}"
         dealt = df.repartition(layout.buckets, *layout.bucket_by)  # one file for each bucket
         writer = dealt.write.format("parquet").bucketBy(layout.buckets, *layout.bucket_by).sortBy(*layout.bucket_by)
-        writer.option("path", path).saveAsTable(own)
+        writer.option("compression", COMPRESSION).option("path", path).saveAsTable(own)
         return Version(name, path, spark.table(own), layout, own)
     if layout.partition_by:
         # Rows of one value go to as many tasks as they need, not to one each.
-        df.hint("rebalance", *layout.partition_by).write.partitionBy(*layout.partition_by).parquet(path)
+        df.hint("rebalance", *layout.partition_by).write.partitionBy(*layout.partition_by).parquet(path, compression=COMPRESSION)
     else:
-        df.write.parquet(path)
+        df.write.parquet(path, compression=COMPRESSION)
     return Version(name, path, spark.read.schema(df.schema).parquet(path), layout)
 
 

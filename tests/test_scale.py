@@ -7,10 +7,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmart import mapping
+from starmart.driver import marts
+from starmart.driver.marts import mart
 from starmart.driver.oracles import ORACLES
 from starmart.driver.queries import REGISTRY
-from starmart.plans import contracts
+from starmart.operators import bitmaps, joins
+from starmart.plans import contracts, reports
+from starmart.plans.fact import FACT_COLUMNS, fact_lines
 from starmart.sources import delimited
+from starmart.sources.tables import buckets_of
 
 SF_DIR = "/root/testdata/sf0.001"
 KEYS = {"customer": ["c_custkey"], "orders": ["o_custkey"]}
@@ -66,3 +71,64 @@ def test_texts_are_not_cast_to_find_that_they_do_not_fit(spark, monkeypatch):
     monkeypatch.setattr("pyspark.sql.Column.try_cast", strict)
     monkeypatch.setattr("pyspark.sql.classic.column.Column.try_cast", strict)
     assert delimited.kinds_of(df) == {"a": "string", "b": "double"}
+
+
+@pytest.mark.parametrize("report", ["shipping_analysis", "employee_performance", "top_customers"])
+def test_no_amount_is_kept_per_order(spark, report):
+    """What is shuffled for each order is its id and the key alone."""
+    built = mart(spark, SF_DIR)
+    frames = {
+        "shipping_analysis": lambda: reports.shipping_analysis(built.fact, built.dims.shipping),
+        "employee_performance": lambda: reports._totals(built.fact, "employee_key", total_revenue="total_amount"),
+        "top_customers": lambda: reports.top_customers(built.fact, built.dims.customer),
+    }
+    plan = frames[report]()._jdf.queryExecution().executedPlan().toString().splitlines()
+    by_order = [line for line in plan if "Aggregate(keys=[" in line and "order_id" in line.partition("functions=")[0]]
+    assert by_order and all("functions=[]" in line for line in by_order)
+
+
+def test_totals_of_missing_keys_and_orders(spark, rows):
+    lines = [(1, 10, "1.25"), (1, 10, "2.25"), (1, None, "0.50"), (None, 11, "3.00"), (None, 11, None), (2, 12, None)]
+    fact = spark.createDataFrame(lines, "key long, order_id long, amount string").withColumn("amount", F.col("amount").cast("decimal(12,2)"))
+    got = reports._totals(fact, "key", total="amount")
+    nested = fact.groupBy("key", "order_id").agg(F.sum("amount").alias("a")).groupBy("key")
+    want = nested.agg(F.sum("a").alias("total"), F.count("*").alias("order_count"))
+    assert got.schema["total"].dataType == want.schema["total"].dataType
+    assert rows(got.select("key", "total", "order_count")) == rows(want)
+
+
+def test_tables_are_written_small(spark):
+    built = mart(spark, SF_DIR)
+    assert all(name.endswith(".zstd.parquet") for name in built.fact.inputFiles())
+
+
+def test_rollup_numbers_of_a_group_lie_together(spark, monkeypatch):
+    """Scattered numbers would fill a bitmap for each range of numbers and group."""
+    seen = []
+    make = bitmaps.distinct_bitmaps
+    monkeypatch.setattr(bitmaps, "distinct_bitmaps", lambda df, *a: seen.append(df) or make(df, *a))
+    REGISTRY["orders_by_rollup"](spark, SF_DIR)
+    spans = seen[0].groupBy("country", "year").agg(
+        (F.max("number") - F.min("number") + 1).alias("span"), F.count_distinct("number").alias("orders")
+    )
+    assert spans.count() > 50 and spans.filter("span <> orders").isEmpty()
+
+
+def test_buckets_follow_the_lines(spark, monkeypatch, rows):
+    monkeypatch.setattr(marts, "BUCKET_LINES", 500)
+    built = marts.mart_by_year(spark, f"{SF_DIR}/.")  # another name, so that it is built anew
+    lines = built.tables["order_details"].count()
+    for name in ("orders", "order_details"):
+        assert buckets_of(spark, f"{built.namespace}.{name}") == (-(-lines // 500), ["order_id"])
+    assert rows(built.fact.select(*FACT_COLUMNS)) == rows(mart(spark, SF_DIR).fact.select(*FACT_COLUMNS))
+
+
+def test_many_lines_are_joined_by_more_tasks(spark, monkeypatch, rows):
+    built = mart(spark, SF_DIR)
+    plain = fact_lines(built.tables["order_details"], built.tables["orders"], built.dims)
+    monkeypatch.setattr(joins, "TASK_ROWS", 500)
+    dealt = fact_lines(built.tables["order_details"], built.tables["orders"], built.dims)
+    tasks = -(-built.tables["order_details"].count() // 500)
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(order_id") >= 3 and plan.count(f", {tasks}), REPARTITION_BY_NUM") == 3
+    assert rows(dealt) == rows(plain)
