@@ -228,8 +228,31 @@ class ByteBpe:
         return apart
 
     def encode_piece(self, piece: bytes) -> list[int]:
+        """The last tokens of all prefixes, as in ``PrefixTable``, and the walk back, for bytes that stay as they are."""
         whole = self.ranks.get(piece)
-        return [whole] if whole is not None else PrefixTable(self, piece).ids()
+        if whole is not None:
+            return [whole]
+        step, ending, pairs, base = self.step, self.ending, self.pairs, self.base
+        last: list[int] = []  # of the prefix of one byte, of two, ...
+        sizes: list[int] = []
+        state = 0
+        for at, byte in enumerate(piece):
+            key = state << 8 | byte
+            state = step[key] if key in step else self.move(state, byte)
+            for size, token in ending[state]:
+                if size > at:
+                    break
+                pair = last[at - size] * base + token
+                if pairs[pair] if pair in pairs else self.stand_together(last[at - size], token):
+                    break
+            last.append(token)
+            sizes.append(size)
+        out, at = [], len(piece) - 1
+        while at >= 0:
+            out.append(last[at])
+            at -= sizes[at]
+        out.reverse()
+        return out
 
     def _remember(self, piece: str) -> tuple[int, ...]:
         return tuple(self.encode_piece(piece.encode("utf-8", "replace")))
