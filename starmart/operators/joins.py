@@ -14,6 +14,9 @@ HOT_PARTS = 10_000
 SLICE_ROWS = 1_000_000
 # Rows of the large side that a task sorts for a join whose size is known, so that its memory stays the same as rows grow.
 TASK_ROWS = 1_000_000
+# Rows of a dimension that Spark may broadcast. It judges a written table by the size of its files, where a row may take a
+# few bytes; in the hash table, which the driver builds and every executor holds, a row takes 50 to some hundred bytes.
+BROADCAST_ROWS = 500_000
 SLICE = "_slice"
 ROW = "_row"
 
@@ -99,10 +102,12 @@ def join_sliced(
 def lookup(df: DataFrame, dimension: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Equi-join with a dimension that is unique on the key.
 
-    No hint: Spark broadcasts the dimension when its measured size allows, and else shuffles both
-    sides, where adaptive execution splits the partitions of hot keys.
+    Up to ``BROADCAST_ROWS`` rows without a hint: Spark broadcasts the dimension when the size of its files allows. A larger
+    one is merged, which needs no hash table: both sides are shuffled, where adaptive execution splits the partitions of
+    hot keys. So what the driver holds of a dimension does not grow with it.
     """
-    return df.join(dimension, key, how)
+    large = dimension.count() > BROADCAST_ROWS
+    return df.join(dimension.hint("merge") if large else dimension, key, how)
 
 
 def existing(df: DataFrame, parent: DataFrame, key: str) -> DataFrame:

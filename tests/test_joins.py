@@ -5,7 +5,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from starmart.operators.joins import SLICE, cut, existing, hot_keys, join_cut, join_sliced, key_counts, repeat, with_row_id
+from starmart.operators import joins
+from starmart.operators.joins import SLICE, cut, existing, hot_keys, join_cut, join_sliced, key_counts, lookup, repeat, with_row_id
 
 
 def frames(spark):
@@ -68,3 +69,31 @@ def test_equal_rows_of_a_hot_key_use_all_slices(spark, rows):
     sizes = [r["count"] for r in dealt.groupBy(SLICE).count().collect()]
     assert len(sizes) == 100 and max(sizes) < 40
     assert rows(join_cut(dealt, repeat(side, hot, ["k"]), ["k"])) == rows(big.join(side, "k"))
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_many_rows_in_a_small_file_are_not_broadcast(spark, tmp_path, how):
+    """The files of the dimension are far smaller than the limit for broadcasts, its hash table is not."""
+    key = F.lpad(F.col("id").cast("string"), 20, "0")
+    spark.range(600_000).select(key.alias("k"), F.col("id").alias("v")).write.parquet(f"{tmp_path}/many", compression="zstd")
+    dimension = spark.read.parquet(f"{tmp_path}/many")
+    ids = [0, 1, 1, 599_999, 600_000, None]
+    df = spark.createDataFrame([(i,) for i in ids], "id long").select(key.alias("k"), "id")
+    assert sum(path.stat().st_size for path in tmp_path.glob("many/*.parquet")) < 10_000_000
+    joined = lookup(df, dimension, "k", how)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    want = [(i, i if i is not None and i < 600_000 else None) for i in ids]
+    got = [(r["id"], r["v"]) for r in joined.collect()]
+    assert sorted(got, key=str) == sorted([w for w in want if how == "left" or w[1] is not None], key=str)
+
+
+def test_few_rows_are_broadcast(spark, monkeypatch, rows):
+    big, _ = frames(spark)
+    side = spark.range(30).select(F.col("id").cast("int").alias("k"), F.col("id").alias("s"))
+    few = lookup(big, side, "k")
+    assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 29)
+    many = lookup(big, side, "k")
+    assert "Broadcast" not in many._jdf.queryExecution().executedPlan().toString()
+    assert many.columns == few.columns and rows(many) == rows(few)

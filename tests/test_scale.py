@@ -131,3 +131,15 @@ def test_many_lines_are_joined_by_more_tasks(spark, monkeypatch, rows):
     plan = dealt._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning(order_id") >= 3 and plan.count(f", {tasks}), REPARTITION_BY_NUM") == 3
     assert rows(dealt) == rows(plain)
+
+
+def test_large_dimensions_are_not_held_by_the_driver(spark, monkeypatch, rows):
+    """Customers, products and employees are merged with the rows that name them; only lists stay to be broadcast."""
+    built = mart(spark, SF_DIR)
+    plain = fact_lines(built.tables["order_details"], built.tables["orders"], built.dims)
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 1)
+    merged = fact_lines(built.tables["order_details"], built.tables["orders"], built.dims)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    for key in ("customer_id", "product_id", "employee_id", "order_date"):
+        assert f"SortMergeJoin [{key}" in plan and f"BroadcastHashJoin [{key}" not in plan
+    assert rows(merged) == rows(plain)
