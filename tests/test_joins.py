@@ -97,3 +97,12 @@ def test_few_rows_are_broadcast(spark, monkeypatch, rows):
     many = lookup(big, side, "k")
     assert "Broadcast" not in many._jdf.queryExecution().executedPlan().toString()
     assert many.columns == few.columns and rows(many) == rows(few)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_merged_lookup_of_repeated_and_missing_keys(spark, monkeypatch, rows, how):
+    big, side = frames(spark)
+    side = side.unionByName(spark.createDataFrame([(None, "none")], side.schema))
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 1)
+    merged = lookup(big, side, "k", how)
+    assert rows(merged) == rows(big.join(side, "k", how))
